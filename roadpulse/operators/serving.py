@@ -25,8 +25,11 @@ _FORECAST_FIELDS = [f.name for f in _FORECAST_ONLY]
 
 def serving_entries(messages: DataFrame, history_topic: str, forecast_topic: str,
                     order: Sequence[str] = ("timestamp", "offset")) -> DataFrame:
-    """Entries of the messages of two topics; messages without camera or time are left out."""
-    seq = F.struct(*order).alias("seq")
+    """Entries of the messages of two topics; messages without camera or time are left out.
+
+    Messages are versions in the given order, and messages equal in it in one that depends on nothing else.
+    """
+    seq = F.struct(*order, F.xxhash64("value").alias("tie")).alias("seq")
     kind = F.when(F.col("topic") == history_topic, "history").when(F.col("topic") == forecast_topic, "forecast")
     keyed = messages.select(kind.alias("kind"), "value", seq).filter(F.col("kind").isNotNull())
     rows = decode(keyed, _MESSAGE, keep=["kind", "seq"])

@@ -44,11 +44,31 @@ def read_image_frames(spark: SparkSession, paths: Iterable[str], cam_id: str, lo
                         headers.alias("headers"), "path")
 
 
+def stream_parquet(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    """A stream of the rows of a Parquet table, be it a directory or a single file."""
+    reader = spark.readStream.schema(schema)
+    if _status(spark, path).isDirectory():
+        return reader.parquet(path)
+    # A file source reads directories only.
+    folder, _, name = path.rpartition("/")
+    return reader.option("pathGlobFilter", name).parquet(folder)
+
+
 def write_report(metrics: DataFrame, path: str) -> None:
     """A one-row metrics table as JSON."""
     metrics.write.mode("overwrite").json(path)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _file_system(spark, path)
+    return fs.exists(target)
+
+
+def _status(spark: SparkSession, path: str):
+    fs, target = _file_system(spark, path)
+    return fs.getFileStatus(target)
+
+
+def _file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target

@@ -77,13 +77,17 @@ class DirectoryTopics:
 
 
 def _topic_rows(messages: DataFrame, topic: str) -> DataFrame:
-    """Topic rows; `offset` and `timestamp` may be given, as the producer's own."""
+    """Topic rows; `offset` and `timestamp` may be given, as the producer's own.
+
+    Messages of one micro-batch share their time and have no offset.
+    """
     given = set(messages.columns)
+    offset = F.lit(None) if messages.isStreaming else F.monotonically_increasing_id()
     filled = {
         "headers": F.lit(None),
         "topic": F.lit(topic),
         "partition": F.lit(0),
-        "offset": F.monotonically_increasing_id(),
+        "offset": offset,
         "timestamp": F.current_timestamp(),
         "timestampType": F.lit(0),
     }
