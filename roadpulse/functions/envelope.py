@@ -1,6 +1,6 @@
 """JSON message envelopes: key and value in, typed columns out, and back."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -12,15 +12,19 @@ def parse_time(text: Column) -> Column:
     return F.try_to_timestamp(text)
 
 
-def decode(df: DataFrame, schema: T.StructType, value: str = "value",
-           keep: Sequence[str] = (), with_corrupt: bool = False) -> DataFrame:
-    """Flat columns of a JSON value. Broken JSON gives nulls; `with_corrupt` adds its text."""
+def decode(df: DataFrame, schema: T.StructType, value: str = "value", keep: Sequence[str] = (),
+           where: Callable[[Column], Column] | None = None, with_corrupt: bool = False) -> DataFrame:
+    """Flat columns of a JSON value. Broken JSON gives nulls; `with_corrupt` adds its text.
+
+    `where` picks records by their fields. It runs on the parsed record, inside a generator: Spark
+    would move a filter below the parsing, and so parse each value once more per condition.
+    """
     options = {}
     if with_corrupt:
         schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
         options["columnNameOfCorruptRecord"] = CORRUPT
-    parsed = F.from_json(F.col(value).cast("string"), schema, options).alias("data")
-    return df.select(*keep, parsed).select(*keep, "data.*")
+    records = F.array(F.from_json(F.col(value).cast("string"), schema, options))
+    return df.select(*keep, F.inline(F.filter(records, where) if where else records))
 
 
 def encode(df: DataFrame, key: str | Column, fields: Sequence[str | Column],

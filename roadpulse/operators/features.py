@@ -32,7 +32,7 @@ def training_features(history: DataFrame, series: str = "entity_id", time: str =
                       span_seconds: int | None = 86_400, max_gap_seconds: int | None = None) -> DataFrame:
     """Lags t..t4, calendar features and the next value as `target`; rows with a null are dropped."""
     order = [time] + ([tie] if tie else [])
-    lagged = lag_lead(history.dropna(subset=[time]), series, order, flow, LAG_COUNT - 1, 1,
+    lagged = lag_lead(history.filter(F.col(time).isNotNull()), series, order, flow, LAG_COUNT - 1, 1,
                       span_seconds, max_gap_seconds)
     columns = {"t": F.col(flow)} | {f"t{k}": F.col(f"lag_{k}") for k in range(1, LAG_COUNT)}
     columns |= calendar_features(F.col(time)) | {"target": F.col("lead_1")}

@@ -1,6 +1,6 @@
 """Frames and observations as they arrive."""
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from roadpulse.functions.envelope import CORRUPT, decode, encode, parse_time
 from roadpulse.functions.headers import header_text, make_headers
@@ -8,14 +8,14 @@ from roadpulse.schemas import OBSERVATION
 
 
 def flatten_frames(frames: DataFrame, keep=()) -> DataFrame:
-    """Camera id, location and time text from the headers, next to the payload."""
+    """Camera id, location and time text from the headers, next to the payload; frames of no camera are left out."""
     headers = F.col("headers")
     flat = frames.select(
         *keep,
         *[header_text(headers, name).alias(name) for name in ("cam_id", "location", "timestamp")],
         "value",
     )
-    return with_camera(flat)
+    return flat.filter(F.col("cam_id") != "")
 
 
 def frame_messages(frames: DataFrame, payload: str = "value", keep=()) -> DataFrame:
@@ -30,14 +30,13 @@ def frame_messages(frames: DataFrame, payload: str = "value", keep=()) -> DataFr
                          headers.alias("headers"), *keep)
 
 
-def with_camera(df: DataFrame) -> DataFrame:
-    """Rows with a camera id."""
-    return df.filter(F.col("cam_id").isNotNull() & (F.col("cam_id") != ""))
+def has_camera(record: Column) -> Column:
+    return record["cam_id"] != ""
 
 
 def decode_observations(messages: DataFrame, keep=()) -> DataFrame:
-    """Observations with a parsed event time. Undecodable messages give null fields."""
-    rows = decode(messages, OBSERVATION, keep=keep)
+    """Observations of known cameras, with a parsed event time."""
+    rows = decode(messages, OBSERVATION, keep=keep, where=has_camera)
     return rows.withColumn("timestamp", parse_time(F.col("timestamp")))
 
 

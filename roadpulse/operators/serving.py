@@ -1,7 +1,9 @@
 """The view per camera: recent history, forecasts still ahead, location.
 
-Messages become entries, one per camera and time: kind, cam_id, time_key, the record's fields and
-the order of the message. Entries of one kind, camera and time are versions of each other.
+Messages become entries: kind, cam_id, time_key, the record's fields and the order of the message.
+Entries of one kind, camera and time are versions of each other. Besides "history" and "forecast"
+there are two kinds without a time, one entry per camera each once merged: "place", the last message
+that gave a location, and "heard", the last message of all.
 """
 
 from collections.abc import Sequence
@@ -9,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from roadpulse.functions.envelope import decode
-from roadpulse.operators.ingest import with_camera
+from roadpulse.operators.ingest import has_camera
 from roadpulse.schemas import AGGREGATE, FORECAST
 
 HISTORY_LIMIT = 30
@@ -29,12 +31,23 @@ def serving_entries(messages: DataFrame, history_topic: str, forecast_topic: str
 
     Messages are versions in the given order, and messages equal in it in one that depends on nothing else.
     """
-    seq = F.struct(*order, F.xxhash64("value").alias("tie")).alias("seq")
     kind = F.when(F.col("topic") == history_topic, "history").when(F.col("topic") == forecast_topic, "forecast")
-    keyed = messages.select(kind.alias("kind"), "value", seq).filter(F.col("kind").isNotNull())
-    rows = decode(keyed, _MESSAGE, keep=["kind", "seq"])
-    time = F.when(F.col("kind") == "history", F.col("start_time")).otherwise(F.col("prediction_timestamp"))
-    return with_camera(rows.withColumn("time_key", time)).filter(F.col("time_key").isNotNull())
+    seq = F.struct(*order, F.xxhash64("value").alias("tie"))
+    keyed = (messages.select(kind.alias("__kind"), "value", seq.alias("seq"))
+             .filter(F.col("__kind").isNotNull())
+             .withColumn("updated_at", F.current_timestamp()))
+
+    def time_of(record):
+        return F.when(F.col("__kind") == "history", record["start_time"]).otherwise(record["prediction_timestamp"])
+
+    rows = decode(keyed, _MESSAGE, keep=["__kind", "seq", "updated_at"],
+                  where=lambda record: has_camera(record) & time_of(record).isNotNull())
+    places = F.when((F.col("__kind") == "history") & F.col("location").isNotNull(), "place")
+    kinds = F.array_compact(F.array("__kind", places, F.lit("heard")))
+    time = F.when(F.col("__kind") == "history", F.col("start_time")).otherwise(F.col("prediction_timestamp"))
+    return (rows.withColumn("kind", F.explode(kinds))
+            .withColumn("time_key", F.when(F.col("kind") == F.col("__kind"), time))
+            .drop("__kind"))
 
 
 def latest_wins(entries: DataFrame, keys: Sequence[str], order: Sequence[str] = ("seq",)) -> DataFrame:
@@ -51,30 +64,26 @@ def newest(entries: DataFrame, n: int, series: Sequence[str], time: str = "time_
 
 def merge_entries(entries: DataFrame, history_limit: int = HISTORY_LIMIT,
                   forecast_limit: int = FORECAST_LIMIT) -> DataFrame:
-    """Latest version per camera and time, and of those the newest of each kind.
+    """Latest version per kind, camera and time, and of those the newest of each kind.
 
     Merging in parts or all at once, and merging again, gives the same entries.
     """
     last = latest_wins(entries, ["kind", "cam_id", "time_key"])
-    history = newest(last.filter("kind = 'history'"), history_limit, ["cam_id"])
-    forecast = newest(last.filter("kind = 'forecast'"), forecast_limit, ["cam_id"])
-    return history.unionByName(forecast)
+    # One pass for all kinds: cut to the larger limit, which Spark applies before the shuffle, then to each kind's own.
+    by_time = Window.partitionBy("kind", "cam_id").orderBy(F.desc("time_key"))
+    own = F.when(F.col("kind") == "history", history_limit).otherwise(forecast_limit)
+    return (last.withColumn("__rank", F.row_number().over(by_time))
+            .filter(f"__rank <= {max(int(history_limit), int(forecast_limit))}")
+            .filter(F.col("__rank") <= own)
+            .drop("__rank"))
 
 
-def camera_states(entries: DataFrame, updated_at: Column | None = None) -> DataFrame:
+def camera_states(entries: DataFrame) -> DataFrame:
     """Per camera with messages: its last reported location, and when it was last heard of."""
-    at = F.current_timestamp() if updated_at is None else updated_at
-    rows = entries.select("cam_id", "seq", "location", at.alias("last_updated"))
-    return merge_camera_states(rows)
-
-
-def merge_camera_states(states: DataFrame) -> DataFrame:
-    """`seq` becomes that of the message which gave the location."""
-    located = F.when(F.col("location").isNotNull(), F.col("seq"))
-    return states.groupBy("cam_id").agg(
-        F.max(located).alias("seq"),
-        F.max_by("location", located).alias("location"),
-        F.max("last_updated").alias("last_updated"),
+    is_place = F.col("kind") == "place"
+    return entries.groupBy("cam_id").agg(
+        F.max_by(F.when(is_place, F.col("location")), F.when(is_place, F.col("seq"))).alias("location"),
+        F.max("updated_at").alias("last_updated"),
     )
 
 
@@ -88,13 +97,13 @@ def locate(messages: DataFrame, registry: DataFrame, reported: str = "location")
     return messages.join(known, "cam_id", "left").withColumn("location", place).drop("__registered")
 
 
-def seed_registered(states: DataFrame, registry: DataFrame) -> DataFrame:
+def seed_registered(states: DataFrame, registry: DataFrame, keep: Sequence[Column] = ()) -> DataFrame:
     """Camera states with every registered camera, heard of or not."""
     known = registry.select(F.col("camera_id").alias("cam_id"), F.col("location").alias("__registered"))
     place = F.coalesce("location", "__registered", F.lit(UNKNOWN))
     updated = F.coalesce(F.col("last_updated").cast("string"), F.lit(WAITING))
     return (states.join(known, "cam_id", "full")
-            .select("cam_id", place.alias("location"), updated.alias("last_updated")))
+            .select("cam_id", place.alias("location"), updated.alias("last_updated"), *keep))
 
 
 def last_history_end(history: DataFrame) -> DataFrame:
@@ -102,30 +111,39 @@ def last_history_end(history: DataFrame) -> DataFrame:
     return history.groupBy("cam_id").agg(F.max_by("end_time", "start_time").alias("last_end"))
 
 
-def future_forecasts(forecast: DataFrame, history: DataFrame) -> DataFrame:
-    """Forecasts later than their camera's history; all of them where there is no history."""
-    ahead = "last_end IS NULL OR prediction_timestamp > last_end"
-    return forecast.join(last_history_end(history), "cam_id", "left").filter(ahead).drop("last_end")
+def future_forecasts(entries: DataFrame) -> DataFrame:
+    """Forecasts later than their camera's newest history row; all of them where there is no history.
+
+    `entries` are merged ones, so a camera has no more of them than the limits of the merge.
+    """
+    start = F.when(F.col("kind") == "history", F.col("start_time"))
+    last_end = F.max_by("end_time", start).over(Window.partitionBy("cam_id"))
+    return (entries.filter("kind IN ('history', 'forecast')")
+            .withColumn("__last_end", last_end)
+            .filter("kind = 'forecast' AND (__last_end IS NULL OR prediction_timestamp > __last_end)")
+            .drop("__last_end"))
 
 
-def camera_documents(entries: DataFrame, states: DataFrame, registry: DataFrame) -> DataFrame:
+def camera_documents(entries: DataFrame, registry: DataFrame) -> DataFrame:
     """One row per camera: location, last update, history and future forecasts, oldest first.
 
     `entries` are merged ones, so the lists are bounded by the limits of the merge.
     """
-    is_history = F.col("kind") == "history"
-    per_camera = entries.groupBy("cam_id").agg(
-        F.array_sort(F.collect_list(F.when(is_history, F.struct(*_HISTORY_FIELDS)))).alias("history"),
-        F.array_sort(F.collect_list(F.when(~is_history, F.struct(*_FORECAST_FIELDS)))).alias("forecast"),
+    is_place = F.col("kind") == "place"
+    heard = entries.groupBy("cam_id").agg(
+        F.array_sort(F.collect_list(F.when(F.col("kind") == "history", F.struct(*_HISTORY_FIELDS)))).alias("history"),
+        F.array_sort(F.collect_list(F.when(F.col("kind") == "forecast", F.struct(*_FORECAST_FIELDS)))).alias("forecast"),
+        F.max(F.when(is_place, F.col("location"))).alias("location"),
+        F.max("updated_at").alias("last_updated"),
     )
     last_end = F.try_element_at("history", F.lit(-1))["end_time"]
     ahead = F.filter("forecast", lambda f: last_end.isNull() | (f["prediction_timestamp"] > last_end))
     history_type = T.ArrayType(T.StructType([AGGREGATE[f] for f in _HISTORY_FIELDS]))
     forecast_type = T.ArrayType(T.StructType([FORECAST[f] for f in _FORECAST_FIELDS]))
-    return (seed_registered(states, registry).join(per_camera, "cam_id", "left")
-            .select("cam_id", "location", "last_updated",
-                    F.coalesce("history", F.array().cast(history_type)).alias("history"),
-                    F.coalesce(ahead, F.array().cast(forecast_type)).alias("forecast")))
+    return seed_registered(heard, registry, [
+        F.coalesce("history", F.array().cast(history_type)).alias("history"),
+        F.coalesce(ahead, F.array().cast(forecast_type)).alias("forecast"),
+    ])
 
 
 def chart_series(documents: DataFrame) -> DataFrame:

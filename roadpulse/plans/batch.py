@@ -23,7 +23,7 @@ TOPICS = ("traffic-aggregated", "traffic-forecast")
 def obs_decode(spark, sf_dir):
     messages = ingest.encode_observations(tables.observations(spark, sf_dir), keep=["event_id"])
     decoded = ingest.decode_observations(messages, keep=["event_id"])
-    return clean(ingest.with_camera(decoded).drop("detail"))
+    return clean(decoded.drop("detail"))
 
 
 def header_flatten(spark, sf_dir):
@@ -288,7 +288,7 @@ def latest_wins(spark, sf_dir):
 
 
 def newest_n(spark, sf_dir):
-    rows = serving.merge_entries(_entries(spark, sf_dir))
+    rows = serving.merge_entries(_entries(spark, sf_dir)).filter("kind IN ('history', 'forecast')")
     volume = F.coalesce("avg_traffic_volume", "predicted_volume").alias("volume")
     return clean(rows.select("kind", "cam_id", "time_key", volume))
 
@@ -298,16 +298,13 @@ def last_history_end(spark, sf_dir):
 
 
 def future_forecasts(spark, sf_dir):
-    kept = serving.merge_entries(_entries(spark, sf_dir))
-    rows = serving.future_forecasts(kept.filter("kind = 'forecast'"), kept.filter("kind = 'history'"))
+    rows = serving.future_forecasts(serving.merge_entries(_entries(spark, sf_dir)))
     return clean(rows.select("cam_id", "prediction_timestamp", "base_time_t", "current_volume",
                              "predicted_volume", "is_padded"))
 
 
 def _documents(spark, sf_dir):
-    entries = _entries(spark, sf_dir)
-    return serving.camera_documents(serving.merge_entries(entries), serving.camera_states(entries),
-                                    tables.registry(spark, sf_dir))
+    return serving.camera_documents(serving.merge_entries(_entries(spark, sf_dir)), tables.registry(spark, sf_dir))
 
 
 def document_rows(documents):

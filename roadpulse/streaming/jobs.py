@@ -11,7 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from roadpulse.functions.envelope import decode, encode
 from roadpulse.operators.features import FeatureSpec, serving_features
 from roadpulse.operators.forecast import forecasts
-from roadpulse.operators.ingest import decode_observations, encode_observations, flatten_frames, with_camera
+from roadpulse.operators.ingest import decode_observations, encode_observations, flatten_frames
 from roadpulse.operators.scoring import Detector, observe, score_frames
 from roadpulse.operators.windows import average_volume, volume_history
 from roadpulse.schemas import AGGREGATE, FORECAST
@@ -28,7 +28,7 @@ def monitor(frames: DataFrame, detector: Detector, workers: int | None = None, *
 
 def aggregate(messages: DataFrame, window: str = "1 minute", delay: str | None = "10 seconds") -> DataFrame:
     """Observation messages to messages of window averages."""
-    averages = average_volume(with_camera(decode_observations(messages)), window, delay)
+    averages = average_volume(decode_observations(messages), window, delay)
     return encode(averages, "cam_id", AGGREGATE.fieldNames())
 
 

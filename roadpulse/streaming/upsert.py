@@ -1,16 +1,15 @@
-"""The serving table: a versioned snapshot of entries and camera states, kept by a stream."""
+"""The serving table: a versioned snapshot of merged entries, kept by a stream."""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from roadpulse.operators.serving import (
-    FORECAST_LIMIT, HISTORY_LIMIT, camera_documents, camera_states, merge_camera_states, merge_entries,
-    serving_entries,
+    FORECAST_LIMIT, HISTORY_LIMIT, camera_documents, merge_entries, serving_entries,
 )
 
 
 class ServingTable:
-    """Snapshots `<path>/<generation>-<batch>/{entries,cameras}`, one per micro-batch.
+    """Snapshots `<path>/<generation>-<batch>`, one per micro-batch.
 
     A batch merges the newest complete snapshot before it with its messages and writes its own, so
     a repeated batch replaces its own snapshot and changes nothing else. A query with a fresh
@@ -31,18 +30,10 @@ class ServingTable:
     def upsert(self, messages: DataFrame, batch_id: int) -> None:
         name = f"{self.generation:06d}-{batch_id:012d}"
         older = [s for s in self._snapshots() if s < name]
-        messages = messages.persist()
-        try:
-            entries = serving_entries(messages, *self.topics)
-            states = camera_states(entries)
-            if older:
-                entries = entries.unionByName(self._read(older[-1], "entries"))
-                states = merge_camera_states(states.unionByName(self._read(older[-1], "cameras")))
-            merge_entries(entries, *self.limits).write.mode("overwrite").parquet(f"{self.path}/{name}/entries")
-            # Written last: its completion marks the snapshot as complete.
-            states.write.mode("overwrite").parquet(f"{self.path}/{name}/cameras")
-        finally:
-            messages.unpersist()
+        entries = serving_entries(messages, *self.topics)
+        if older:
+            entries = entries.unionByName(self._read(older[-1]))
+        merge_entries(entries, *self.limits).write.mode("overwrite").parquet(f"{self.path}/{name}")
         for stale in older[:-self.keep_snapshots]:
             self._fs().delete(self._hadoop_path(stale), True)
 
@@ -50,17 +41,13 @@ class ServingTable:
         return messages.writeStream.foreachBatch(self.upsert)
 
     def entries(self) -> DataFrame:
-        return self._read(self._newest(), "entries")
-
-    def states(self) -> DataFrame:
-        return self._read(self._newest(), "cameras")
+        return self._read(self._newest())
 
     def documents(self, registry: DataFrame) -> DataFrame:
-        name = self._newest()
-        return camera_documents(self._read(name, "entries"), self._read(name, "cameras"), registry)
+        return camera_documents(self.entries(), registry)
 
-    def _read(self, name: str, part: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}/{part}")
+    def _read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/{name}")
 
     def _newest(self) -> str:
         names = self._snapshots()
@@ -73,7 +60,7 @@ class ServingTable:
         if not fs.exists(self._hadoop_path()):
             return []
         names = [s.getPath().getName() for s in fs.listStatus(self._hadoop_path())]
-        return sorted(n for n in names if fs.exists(self._hadoop_path(f"{n}/cameras/_SUCCESS")))
+        return sorted(n for n in names if fs.exists(self._hadoop_path(f"{n}/_SUCCESS")))
 
     def _hadoop_path(self, child: str | None = None):
         return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{child}" if child else self.path)
