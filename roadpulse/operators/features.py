@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from roadpulse.functions.calendar import calendar_features, legacy_calendar_features
 from roadpulse.functions.collections import FILLER, LAG_COUNT, lag_columns, newest_padded, ordered_field
-from roadpulse.operators.lags import lag_lead
+from roadpulse.operators.lags import SPAN_ROWS, lag_lead
 
 FEATURES = ["t", "t1", "t2", "t3", "t4", "hour_sin", "hour_cos", "dayofweek"]
 TRAINING_COLUMNS = [*FEATURES, "target"]
@@ -29,11 +29,11 @@ class FeatureSpec:
 
 def training_features(history: DataFrame, series: str = "entity_id", time: str = "time",
                       flow: str = "traffic_flow", tie: str | None = None, keep: Sequence[str] = (),
-                      span_seconds: int | None = 86_400, max_gap_seconds: int | None = None) -> DataFrame:
+                      span_rows: int | None = SPAN_ROWS, max_gap_seconds: int | None = None) -> DataFrame:
     """Lags t..t4, calendar features and the next value as `target`; rows with a null are dropped."""
     order = [time] + ([tie] if tie else [])
     lagged = lag_lead(history.filter(F.col(time).isNotNull()), series, order, flow, LAG_COUNT - 1, 1,
-                      span_seconds, max_gap_seconds)
+                      span_rows, max_gap_seconds)
     columns = {"t": F.col(flow)} | {f"t{k}": F.col(f"lag_{k}") for k in range(1, LAG_COUNT)}
     columns |= calendar_features(F.col(time)) | {"target": F.col("lead_1")}
     complete = lagged.dropna(how="any")

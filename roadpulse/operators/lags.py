@@ -5,14 +5,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
+MOST_SPLIT_SERIES = 10_000
+SPAN_ROWS = 4_000_000
+
+
 def lag_lead(df: DataFrame, series: str, order: Sequence[str], value: str, lags: int, leads: int,
-             span_seconds: int | None = 86_400, max_gap_seconds: int | None = None) -> DataFrame:
+             span_rows: int | None = SPAN_ROWS, max_gap_seconds: int | None = None) -> DataFrame:
     """Columns `lag_1`.. and `lead_1`.. of `value` along each series, by row.
 
-    The first column of `order` is the time; `order` must be total within a series. With
-    `span_seconds` a series is cut into spans of that length, which are sorted apart, so that one
-    series may hold most of the rows. Rows near the ends of a span look across it: for them, and
-    only for them, lag and lead run once more along the whole series. None sorts each series in one piece.
+    The first column of `order` is the time; `order` must be total within a series. A series of more
+    than `span_rows` rows is cut into spans of time of about that size, which are sorted apart, so
+    that one series may hold most of the rows. Rows near the ends of a span look across it: for them,
+    and only for them, lag and lead run once more along the whole series. None cuts no series.
 
     `max_gap_seconds` empties a lag or lead of k rows that lies more than k such gaps away.
     """
@@ -26,27 +30,44 @@ def lag_lead(df: DataFrame, series: str, order: Sequence[str], value: str, lags:
         away = F.abs(F.unix_micros(time) - F.unix_micros(shifted["t"]))
         return F.when(away <= abs(k) * max_gap_seconds * 1_000_000, shifted["v"])
 
-    if span_seconds is None:
-        along = Window.partitionBy(series).orderBy(*order)
-        return df.select("*", *[step(k, along).alias(name) for name, k in steps.items()])
+    across = Window.partitionBy(series).orderBy(*order)
+    if span_rows is None:
+        return df.select("*", *[step(k, across).alias(name) for name, k in steps.items()])
 
     reach = max(lags, leads)
-    spans = df.withColumn("__span", F.floor(F.unix_seconds(time) / F.lit(span_seconds)))
     inside = Window.partitionBy(series, "__span").orderBy(*order)
-    across = Window.partitionBy(series).orderBy(*order)
 
     def exists(k: int) -> Column:
         return F.lag(F.lit(1), k).over(inside).isNotNull()
 
-    placed = spans.select(
+    placed = _with_spans(df, series, time, span_rows).select(
         "*",
         *[step(k, inside).alias(name) for name, k in steps.items()],
         *[exists(k).alias(f"__has_{name}") for name, k in steps.items()],
-        (exists(reach) & exists(-reach)).alias("__interior"),
+        (F.col("__span").isNull() | (exists(reach) & exists(-reach))).alias("__settled"),
     )
     # The first and last `reach` rows of all spans hold every row a look across a span can meet.
-    edges = placed.filter(~F.col("__interior")).select(*df.columns, *[
+    edges = placed.filter(~F.col("__settled")).select(*df.columns, *[
         F.when(F.col(f"__has_{name}"), F.col(name)).otherwise(step(k, across)).alias(name)
         for name, k in steps.items()
     ])
-    return placed.filter("__interior").select(*df.columns, *steps).unionByName(edges)
+    return placed.filter("__settled").select(*df.columns, *steps).unionByName(edges)
+
+
+def _with_spans(df: DataFrame, series: str, time: str, span_rows: int) -> DataFrame:
+    """`__span` numbers the spans of a long series; null for a series in one piece.
+
+    A span is as long as `span_rows` rows take in the densest hour of its series. Only the longest
+    series are cut, as many as the limit says: any other has less than that part of all rows. So the
+    broadcast side has a size that does not grow with the data.
+    """
+    hourly = df.groupBy(series, F.floor(F.unix_seconds(time) / 3600).alias("__hour")).agg(F.count(F.lit(1)).alias("__n"))
+    totals = hourly.groupBy(F.col(series).alias("__series")).agg(F.sum("__n").alias("__total"),
+                                                                 F.max("__n").alias("__densest"))
+    width = F.greatest(F.lit(1), F.floor(F.lit(3_600_000_000 * span_rows) / F.col("__densest")).cast("bigint"))
+    long_ones = (totals.filter(F.col("__total") > span_rows)
+                 .orderBy(F.desc("__total"), "__series").limit(MOST_SPLIT_SERIES)
+                 .select("__series", width.alias("__width")))
+    number = F.floor(F.unix_micros(time) / F.col("__width"))
+    return (df.join(F.broadcast(long_ones), F.col(series) == F.col("__series"), "left")
+            .withColumn("__span", number).drop("__series", "__width"))

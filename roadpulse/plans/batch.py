@@ -190,9 +190,13 @@ def frame_rate_cap_sparse(spark, sf_dir):
 
 # Training data
 
+# Small, so that the sensors of these tables are long series; a cluster takes the default.
+SPAN_ROWS = 1000
+
+
 def _training_rows(spark, sf_dir):
     return features.training_features(tables.sensor_history(spark, sf_dir), tie="dyna_id",
-                                      keep=["dyna_id", "entity_id", "time"])
+                                      keep=["dyna_id", "entity_id", "time"], span_rows=SPAN_ROWS)
 
 
 def train_features(spark, sf_dir):
@@ -202,7 +206,7 @@ def train_features(spark, sf_dir):
 def train_features_gap(spark, sf_dir):
     """Lags across more than half an hour per step count as missing."""
     rows = features.training_features(tables.sensor_history(spark, sf_dir), tie="dyna_id",
-                                      keep=["dyna_id", "entity_id", "time"], max_gap_seconds=1800)
+                                      keep=["dyna_id", "entity_id", "time"], span_rows=SPAN_ROWS, max_gap_seconds=1800)
     return clean(rows)
 
 

@@ -7,7 +7,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
 from roadpulse.functions.collections import map_total, newest_padded, positive_entries
-from roadpulse.operators import features, forecast, model, sampling
+from roadpulse.operators import features, forecast, lags, model, sampling
 from roadpulse.operators.lags import lag_lead
 from roadpulse.operators.windows import volume_history
 from roadpulse.schemas import TRAINING_ROW
@@ -44,8 +44,7 @@ def test_one_average_lies_in_five_windows(spark):
 
 def test_lags_of_a_window(spark):
     rows = averages(spark, [(2, "a", "x", 9.0), (1, "a", "x", 7.0), (3, "a", "x", None)])
-    lags = features.padded_lags(volume_history(rows))
-    got = {r.base_time_t: r for r in lags.collect()}
+    got = {r.base_time_t: r for r in features.padded_lags(volume_history(rows)).collect()}
     third = got[START + timedelta(minutes=3)]
     assert (third.t, third.t1, third.t2, third.t3, third.t4) == (9, 7, 20, 20, 20)
     assert third.n_observed == 2 and third.is_padded
@@ -88,17 +87,28 @@ def test_lags_across_spans_match_one_sort(spark, seed):
 
     df = spark.createDataFrame([(s, START + timedelta(seconds=t), n) for s, t, n in rows],
                                "s string, at timestamp, n int")
-    for span in (300, 3600, None):
-        got = lag_lead(df, "s", ["at", "n"], "n", 4, 2, span_seconds=span)
+    for rows in (1, 3, 40, 1000, None):
+        got = lag_lead(df, "s", ["at", "n"], "n", 4, 2, span_rows=rows)
         names = ["lag_1", "lag_2", "lag_3", "lag_4", "lead_1", "lead_2"]
         assert {r.n: tuple(r[c] for c in names) for r in got.collect()} == want
 
 
+def test_only_the_longest_series_are_cut(spark, monkeypatch):
+    """Series beyond the limit stay in one piece and are no less right."""
+    monkeypatch.setattr(lags, "MOST_SPLIT_SERIES", 1)
+    rows = [(s, START + timedelta(minutes=i), i) for s, n in (("a", 60), ("b", 50), ("c", 2)) for i in range(n)]
+    df = spark.createDataFrame(rows, "s string, at timestamp, n int")
+    spans = lags._with_spans(df, "s", "at", 10).groupBy("s").agg(F.countDistinct("__span").alias("k")).collect()
+    assert {r.s: r.k for r in spans} == {"a": 6, "b": 0, "c": 0}
+    got = lag_lead(df, "s", ["at"], "n", 1, 1, span_rows=10).collect()
+    assert all(r.lag_1 == (r.n - 1 if r.n else None) for r in got) and len(got) == 112
+
+
 def test_gaps_empty_lags(spark):
     df = spark.createDataFrame([("s", START + timedelta(seconds=t), t) for t in (0, 60, 600)],
                                "s string, at timestamp, n int")
-    for span in (60, None):
-        rows = lag_lead(df, "s", ["at"], "n", 2, 1, span_seconds=span, max_gap_seconds=300)
+    for limit in (1, None):
+        rows = lag_lead(df, "s", ["at"], "n", 2, 1, span_rows=limit, max_gap_seconds=300)
         got = {r.n: (r.lag_1, r.lag_2, r.lead_1) for r in rows.collect()}
         assert got == {0: (None, None, 60), 60: (0, None, None), 600: (None, 0, None)}
 
