@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from roadpulse.operators.detections import DEFAULT_CONFIDENCE, VEHICLE_CLASSES, count_in_array
 from roadpulse.functions.collections import map_total
 from roadpulse.schemas import DETECTIONS
+from roadpulse.session import ship_package
 
 _ARROW_DETECTIONS = pa.list_(pa.struct([("class_id", pa.int32()), ("conf", pa.float64())]))
 
@@ -64,6 +65,7 @@ def score_frames(frames: DataFrame, detector: Detector, workers: int | None = No
             yield pa.RecordBatch.from_arrays([*columns, pa.array(found, _ARROW_DETECTIONS)],
                                              names=[*kept, "detections"])
 
+    ship_package(frames.sparkSession)
     if workers:
         frames = frames.repartition(workers, *spread_by)
     return frames.select(*kept, "value").mapInArrow(run, schema)

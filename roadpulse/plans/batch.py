@@ -44,12 +44,14 @@ def header_flatten(spark, sf_dir):
 
 
 def _partly_broken(spark, sf_dir):
-    whole = ingest.encode_observations(tables.observations(spark, sf_dir), keep=["event_id"])
-    case = F.col("event_id") % 10
-    broken = (F.when(case == 0, F.lit("{bad"))
-              .when(case == 1, F.regexp_replace("value", '"timestamp":"[^"]*"', '"timestamp":"None"'))
-              .when(case == 2, F.regexp_replace("value", '"cam_id":"[^"]*"', '"cam_id":""'))
-              .when(case == 3, F.regexp_replace("value", '"traffic_volume":[0-9]+', '"traffic_volume":"many"')))
+    """Observation messages that are broken in a way that depends on the event's type."""
+    rows = tables.observe_events(tables.events(spark, sf_dir), tables.registry(spark, sf_dir), keep=["event_type"])
+    whole = ingest.encode_observations(rows, keep=["event_id", "event_type"])
+    kind = F.col("event_type")
+    broken = (F.when(kind == "signup", F.lit("{bad"))
+              .when(kind == "view", F.regexp_replace("value", '"timestamp":"[^"]*"', '"timestamp":"None"'))
+              .when(kind == "click", F.regexp_replace("value", '"cam_id":"[^"]*"', '"cam_id":""'))
+              .when(kind == "purchase", F.regexp_replace("value", '"traffic_volume":[0-9]+', '"traffic_volume":"many"')))
     return whole.withColumn("value", F.coalesce(broken, F.col("value")))
 
 
@@ -330,11 +332,11 @@ def chart_series(spark, sf_dir):
 
 
 def registry_lookup(spark, sf_dir):
-    """Regions as the registry of five cameras; every fifth event reports a location of its own."""
+    """Regions as the registry of five cameras; events of one type report a location of their own."""
     region = spark.read.parquet(f"{sf_dir}/region.parquet")
     known = region.select(tables.camera_id(F.col("r_regionkey")).alias("camera_id"), F.col("r_name").alias("location"))
-    rows = tables.observations(spark, sf_dir).withColumn(
-        "location", F.when(F.col("event_id") % 5 == 0, F.col("location")))
+    rows = tables.observe_events(tables.events(spark, sf_dir), tables.registry(spark, sf_dir), keep=["event_type"])
+    rows = rows.withColumn("location", F.when(F.col("event_type") == "view", F.col("location")))
     return serving.locate(rows, known).select("event_id", "cam_id", "location")
 
 

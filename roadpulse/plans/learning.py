@@ -18,7 +18,7 @@ from roadpulse.streaming import jobs
 
 def _training_table(spark, sf_dir):
     """The training sample as a CSV table, so that the many passes of the training do not rebuild it."""
-    rows = features.training_features(tables.sensor_history(spark, sf_dir), tie="dyna_id", keep=["dyna_id"])
+    rows = features.training_features(tables.sensor_history(spark, sf_dir), tie="dyna_id", keep=["dyna_id", "time"])
     sample = sampling.sample_preferring(rows, 2000, F.col("target") < 150, ["dyna_id"])
     path = fresh_dir(spark, "training")
     files.write_csv(sample, path)
@@ -27,7 +27,8 @@ def _training_table(spark, sf_dir):
 
 
 def _train_and_save(spark, sf_dir):
-    train, test = sampling.split_by_hash(_training_table(spark, sf_dir), 0.8, ["dyna_id"])
+    # Rows overlap with their neighbours in time, so a random split would test on what was trained on.
+    train, test = sampling.split_by_time(_training_table(spark, sf_dir), 0.8, "time")
     path = fresh_dir(spark, "model")
     model.save_model(model.train(train), path)
     return path, test

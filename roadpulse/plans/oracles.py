@@ -75,7 +75,7 @@ def scored(threshold: float) -> str:
     """Boxes are the eight stripes of eight numbers; their maximum is the confidence."""
     return f"""stripes AS (
   SELECT vec_id, s AS class_id, list_max(embedding[s * 8 + 1 : s * 8 + 8]) AS conf
-  FROM embeddings, (SELECT unnest(range(8)) AS s) WHERE vec_id % 10 <> 3),
+  FROM embeddings, (SELECT unnest(range(8)) AS s) WHERE label <> 3),
 hits AS (
   SELECT vec_id, CASE class_id WHEN 1 THEN 'bicycle' WHEN 2 THEN 'car' WHEN 3 THEN 'motorcycle'
                                WHEN 5 THEN 'bus' WHEN 7 THEN 'truck' END AS label
@@ -114,7 +114,7 @@ history_entries AS (
   FROM obs_hours),
 forecast_entries AS (
   SELECT event_id, "timestamp", cam_id, start_time AS base_time_t,
-         start_time + to_hours(cast(event_id % 6 AS integer)) + INTERVAL 5 MINUTE AS prediction_timestamp,
+         start_time + to_hours(cast(extract(minute FROM "timestamp") // 10 AS integer)) + INTERVAL 5 MINUTE AS prediction_timestamp,
          cast(traffic_volume AS double) AS current_volume, cast(traffic_volume + 1 AS double) AS predicted_volume,
          traffic_volume = 20 AS is_padded
   FROM obs_hours),
@@ -165,15 +165,15 @@ SELECT event_id AS "offset", cam_id, CASE WHEN event_type = 'view' THEN 'moved'
        strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f') AS taken_at, cast(length(props) AS integer) AS n_bytes
 FROM obs WHERE event_type <> 'error'""",
     "bad_record_split": f"""WITH {OBS}
-SELECT event_id, CASE event_id % 10 WHEN 0 THEN NULL WHEN 2 THEN '' ELSE cam_id END AS cam_id,
-       CASE WHEN event_id % 10 IN (0, 1) THEN NULL ELSE "timestamp" END AS "timestamp",
-       CASE WHEN event_id % 10 IN (0, 3) THEN NULL ELSE traffic_volume END AS traffic_volume,
-       CASE event_id % 10 WHEN 0 THEN 'malformed' WHEN 1 THEN 'bad_time' WHEN 2 THEN 'no_camera' ELSE '' END
-         AS bad_reason
+SELECT event_id, CASE event_type WHEN 'signup' THEN NULL WHEN 'click' THEN '' ELSE cam_id END AS cam_id,
+       CASE WHEN event_type IN ('signup', 'view') THEN NULL ELSE "timestamp" END AS "timestamp",
+       CASE WHEN event_type IN ('signup', 'purchase') THEN NULL ELSE traffic_volume END AS traffic_volume,
+       CASE event_type WHEN 'signup' THEN 'malformed' WHEN 'view' THEN 'bad_time' WHEN 'click' THEN 'no_camera'
+                       ELSE '' END AS bad_reason
 FROM obs""",
-    "bad_record_counts": """SELECT CASE event_id % 10 WHEN 0 THEN 'malformed' WHEN 1 THEN 'bad_time' ELSE 'no_camera' END
-         AS bad_reason, count(*) AS n
-FROM events WHERE event_id % 10 <= 2 GROUP BY 1""",
+    "bad_record_counts": """SELECT CASE event_type WHEN 'signup' THEN 'malformed' WHEN 'view' THEN 'bad_time'
+         ELSE 'no_camera' END AS bad_reason, count(*) AS n
+FROM events WHERE event_type IN ('signup', 'view', 'click') GROUP BY 1""",
     "observation_json": f"""WITH {OBS}
 SELECT event_id, cam_id AS key, '{{"cam_id":"' || cam_id || '","location":"' || location || '","timestamp":"' ||
        strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f') || '","traffic_volume":' || traffic_volume || '}}' AS value
@@ -216,7 +216,7 @@ FROM frames LEFT JOIN counted USING (frame_id)""",
 SELECT frame_id, '{{"timestamp":"' || strftime(taken_at, '%Y-%m-%dT%H:%M:%S') || '","address":"' || cam_id ||
        '","traffic volume":' || coalesce(traffic_volume, 0) || ',"detail":{{' || coalesce(pairs, '') || '}}}}' AS report
 FROM frames LEFT JOIN counted USING (frame_id)""",
-    "batch_score": f"WITH {scored(0.25)} {SCORED_COLUMNS} WHERE vec_id % 10 <> 3",
+    "batch_score": f"WITH {scored(0.25)} {SCORED_COLUMNS} WHERE label <> 3",
     "batch_score_keep_undecodable": f"WITH {scored(0.4)} {SCORED_COLUMNS}",
     "frame_rate_cap": f"""WITH {OBS} SELECT event_id, cam_id, "timestamp" FROM obs
 QUALIFY row_number() OVER (PARTITION BY cam_id, epoch_us("timestamp") // 1000000
@@ -268,16 +268,16 @@ SELECT cam_id, 'history' AS series, end_time AS x, avg_traffic_volume AS y FROM
 UNION ALL
 SELECT cam_id, 'forecast', prediction_timestamp, predicted_volume FROM future""",
     "registry_lookup": f"""WITH {OBS}
-SELECT event_id, cam_id, coalesce(CASE WHEN event_id % 5 = 0 THEN location END, r_name, 'Unknown') AS location
+SELECT event_id, cam_id, coalesce(CASE WHEN event_type = 'view' THEN location END, r_name, 'Unknown') AS location
 FROM obs LEFT JOIN region ON cam_id = 'cam_' || lpad(cast(r_regionkey AS varchar), 3, '0')""",
     "registry_seed": f"WITH {OBS}, {ENTRIES} SELECT cam_id, location, waiting FROM states",
     "publish_frames": """SELECT vec_id AS "offset", 'traffic-volume' AS topic,
        'cam_' || lpad(cast(vec_id % 8 AS varchar), 3, '0') AS cam_id, 'label_' || label AS location,
-       vec_id % 10 = 3 AS broken FROM embeddings""",
+       label = 3 AS broken FROM embeddings""",
     "tumbling_avg_stream": f"WITH {OBS}, {averages('1 hour')}, {CLOSED} SELECT {AVG_COLUMNS} FROM closed",
     "sliding_history_stream": f"""WITH {OBS}, {averages('1 hour')}, {CLOSED}, {history('1 hour', 'closed')}, {CLOSED_HIST}
 SELECT window_start, window_end, cam_id, {HIST_TEXT} AS history FROM closed_hist""",
-    "monitor_stream": f"WITH {scored(0.25)} {SCORED_COLUMNS} WHERE vec_id % 10 <> 3".replace(
+    "monitor_stream": f"WITH {scored(0.25)} {SCORED_COLUMNS} WHERE label <> 3".replace(
         'vec_id AS "offset"', "to_timestamp(vec_id + 1704067200) AT TIME ZONE 'UTC' AS \"timestamp\""),
     "frame_rate_cap_stream": f"""WITH {OBS}
 SELECT DISTINCT cam_id, time_bucket(INTERVAL 10 MINUTE, "timestamp") AS slot FROM obs""",

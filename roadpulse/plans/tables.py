@@ -71,9 +71,9 @@ def sensor_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vector_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Embeddings as frame messages, one a second over the cameras; every tenth payload is broken."""
+    """Embeddings as frame messages, one a second over the cameras; the payloads of one label are broken."""
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    payload = F.when(F.col("vec_id") % 10 == 3, F.lit("broken")).otherwise(F.to_json("embedding"))
+    payload = F.when(F.col("label") == 3, F.lit("broken")).otherwise(F.to_json("embedding"))
     shaped = vectors.select(
         F.col("vec_id").alias("offset"), camera_id(F.col("vec_id") % CAMERAS).alias("cam_id"),
         F.concat(F.lit("label_"), F.col("label").cast("string")).alias("location"),
@@ -92,7 +92,8 @@ def serving_messages(rows: DataFrame, places: DataFrame) -> DataFrame:
     history = encode(base, "cam_id", [
         "start_time", "end_time", "cam_id", "location",
         F.col("traffic_volume").cast("double").alias("avg_traffic_volume")], order)
-    ahead = F.col("start_time") + F.make_dt_interval(hours=(F.col("event_id") % 6).cast("int"), mins=F.lit(5))
+    hours = F.floor(F.minute("timestamp") / 10).cast("int")
+    ahead = F.col("start_time") + F.make_dt_interval(hours=hours, mins=F.lit(5))
     forecast = encode(base, "cam_id", [
         ahead.alias("prediction_timestamp"), F.col("start_time").alias("base_time_t"), "cam_id",
         F.col("traffic_volume").cast("double").alias("current_volume"),

@@ -1,6 +1,9 @@
 """Settings that jobs take from the session."""
 
 import contextlib
+import functools
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -20,9 +23,12 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="roadpulse-")
-    spark.conf.set(CHECKPOINT_SETTING, made)
-    return made
+    return _local_dir(spark.sparkContext.applicationId)
+
+
+@functools.cache
+def _local_dir(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="roadpulse-")
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
@@ -30,6 +36,18 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Put this package on the path of the Python workers, once per application."""
+    _ship(spark.sparkContext.applicationId, spark.sparkContext)
+
+
+@functools.lru_cache(maxsize=1)
+def _ship(application_id: str, context) -> None:
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="roadpulse-"), os.path.basename(package))
+    context.addPyFile(shutil.make_archive(archive, "zip", os.path.dirname(package), os.path.basename(package)))
+
+
 @contextlib.contextmanager
 def session_settings(spark: SparkSession, settings: dict):
     """Settings for the body only. A streaming query keeps those it was started under."""

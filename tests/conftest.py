@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -20,7 +19,5 @@ def spark():
                .config("spark.ui.showConsoleProgress", "false")
                .getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="roadpulse-tests-"))
     yield session
     session.stop()
