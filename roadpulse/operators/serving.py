@@ -1,9 +1,9 @@
 """The view per camera: recent history, forecasts still ahead, location.
 
 Messages become entries: kind, cam_id, time_key, the record's fields and the order of the message.
-Entries of one kind, camera and time are versions of each other. Besides "history" and "forecast"
-there are two kinds without a time, one entry per camera each once merged: "place", the last message
-that gave a location, and "heard", the last message of all.
+Entries of one kind, camera and time are versions of each other. Merging adds two kinds without a
+time, one entry per camera each: "place", the last message that gave a location, and "heard", the
+last message of all.
 """
 
 from collections.abc import Sequence
@@ -33,21 +33,17 @@ def serving_entries(messages: DataFrame, history_topic: str, forecast_topic: str
     """
     kind = F.when(F.col("topic") == history_topic, "history").when(F.col("topic") == forecast_topic, "forecast")
     seq = F.struct(*order, F.xxhash64("value").alias("tie"))
-    keyed = (messages.select(kind.alias("__kind"), "value", seq.alias("seq"))
-             .filter(F.col("__kind").isNotNull())
+    keyed = (messages.select(kind.alias("kind"), "value", seq.alias("seq"))
+             .filter(F.col("kind").isNotNull())
              .withColumn("updated_at", F.current_timestamp()))
 
     def time_of(record):
-        return F.when(F.col("__kind") == "history", record["start_time"]).otherwise(record["prediction_timestamp"])
+        return F.when(F.col("kind") == "history", record["start_time"]).otherwise(record["prediction_timestamp"])
 
-    rows = decode(keyed, _MESSAGE, keep=["__kind", "seq", "updated_at"],
+    rows = decode(keyed, _MESSAGE, keep=["kind", "seq", "updated_at"],
                   where=lambda record: has_camera(record) & time_of(record).isNotNull())
-    places = F.when((F.col("__kind") == "history") & F.col("location").isNotNull(), "place")
-    kinds = F.array_compact(F.array("__kind", places, F.lit("heard")))
-    time = F.when(F.col("__kind") == "history", F.col("start_time")).otherwise(F.col("prediction_timestamp"))
-    return (rows.withColumn("kind", F.explode(kinds))
-            .withColumn("time_key", F.when(F.col("kind") == F.col("__kind"), time))
-            .drop("__kind"))
+    time = F.when(F.col("kind") == "history", F.col("start_time")).otherwise(F.col("prediction_timestamp"))
+    return rows.withColumn("time_key", time)
 
 
 def latest_wins(entries: DataFrame, keys: Sequence[str], order: Sequence[str] = ("seq",)) -> DataFrame:
@@ -69,20 +65,28 @@ def merge_entries(entries: DataFrame, history_limit: int = HISTORY_LIMIT,
     Merging in parts or all at once, and merging again, gives the same entries.
     """
     last = latest_wins(entries, ["kind", "cam_id", "time_key"])
+    # The last message of a camera is the last version of its own time, so it is still here.
+    is_message = F.col("kind").isin("history", "forecast")
+    place = F.when((F.col("kind") == "history") & F.col("location").isNotNull(), "place")
+    kinds = F.array_compact(F.array("kind", place, F.when(is_message, "heard")))
+    ranked = (last.withColumn("__kind", F.explode(kinds))
+              .withColumn("time_key", F.when(F.col("kind") == F.col("__kind"), F.col("time_key")))
+              .withColumn("kind", F.col("__kind"))
+              .drop("__kind"))
     # One pass for all kinds: cut to the larger limit, which Spark applies before the shuffle, then to each kind's own.
-    by_time = Window.partitionBy("kind", "cam_id").orderBy(F.desc("time_key"))
-    own = F.when(F.col("kind") == "history", history_limit).otherwise(forecast_limit)
-    return (last.withColumn("__rank", F.row_number().over(by_time))
+    by_time = Window.partitionBy("kind", "cam_id").orderBy(F.desc("time_key"), F.desc("seq"))
+    own = F.when(F.col("kind") == "history", history_limit).when(F.col("kind") == "forecast", forecast_limit)
+    return (ranked.withColumn("__rank", F.row_number().over(by_time))
             .filter(f"__rank <= {max(int(history_limit), int(forecast_limit))}")
-            .filter(F.col("__rank") <= own)
+            .filter(F.col("__rank") <= F.coalesce(own, F.lit(1)))
             .drop("__rank"))
 
 
 def camera_states(entries: DataFrame) -> DataFrame:
     """Per camera with messages: its last reported location, and when it was last heard of."""
-    is_place = F.col("kind") == "place"
+    located = F.col("kind").isin("history", "place") & F.col("location").isNotNull()
     return entries.groupBy("cam_id").agg(
-        F.max_by(F.when(is_place, F.col("location")), F.when(is_place, F.col("seq"))).alias("location"),
+        F.max_by("location", F.when(located, F.col("seq"))).alias("location"),
         F.max("updated_at").alias("last_updated"),
     )
 

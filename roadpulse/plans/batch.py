@@ -284,7 +284,8 @@ def _entries(spark, sf_dir):
 
 
 def _history_entries(spark, sf_dir):
-    return _entries(spark, sf_dir).filter("kind = 'history'")
+    history = _messages(spark, sf_dir).filter(F.col("topic") == TOPICS[0])
+    return serving.serving_entries(history, *TOPICS)
 
 
 def latest_wins(spark, sf_dir):

@@ -87,7 +87,6 @@ def topic_dispatch(spark, sf_dir):
     """One stream over two topics, told apart by topic."""
     topics, root = _published(spark, sf_dir)
     entries = serving_entries(topics.stream(TOPICS), *TOPICS).select("cam_id", "kind", "time_key")
-    entries = entries.filter("kind IN ('history', 'forecast')")
     run(entries.writeStream.format("parquet").option("path", f"{root}/entries"), entries, f"{root}/checkpoint-entries")
     rows = spark.read.parquet(f"{root}/entries")
     return clean(rows.groupBy("cam_id", "kind").agg(F.count(F.lit(1)).alias("n"), F.max("time_key").alias("last_time")))

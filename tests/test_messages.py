@@ -1,4 +1,6 @@
+import os
 from datetime import datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -7,7 +9,7 @@ from roadpulse.functions.calendar import calendar_features, legacy_calendar_feat
 from roadpulse.functions.envelope import decode, encode, parse_time
 from roadpulse.operators import ingest
 from roadpulse.schemas import OBSERVATION, TOPIC_ROW
-from roadpulse.session import fresh_dir, session_settings
+from roadpulse.session import fresh_dir, session_settings, shared_dir
 from roadpulse.sources.topics import DirectoryTopics, KafkaTopics
 
 HEADERS = TOPIC_ROW["headers"].dataType
@@ -98,3 +100,16 @@ def test_kafka_options(spark):
         "kafka.bootstrap.servers": "broker:9092", "kafka.compression.type": "lz4", "subscribe": "a,b",
         "startingOffsets": "earliest", "maxOffsetsPerTrigger": "50", "includeHeaders": "true",
         "failOnDataLoss": "false"}
+
+
+def session(master, named):
+    settings = SimpleNamespace(get=lambda name, default: named or default)
+    return SimpleNamespace(conf=settings, sparkContext=SimpleNamespace(master=master, applicationId="test"))
+
+
+def test_shared_folder():
+    assert shared_dir(session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    local = shared_dir(session("local[2]", None))
+    assert os.path.isdir(local) and shared_dir(session("local[2]", None)) == local
+    with pytest.raises(ValueError):
+        shared_dir(session("yarn", None))
