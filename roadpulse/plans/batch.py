@@ -258,12 +258,32 @@ def time_split(spark, sf_dir):
     return train.unionByName(test)
 
 
+def random_split(spark, sf_dir):
+    """Both parts of the seeded split, which together are the table."""
+    train, test = sampling.split_random(tables.sensor_history(spark, sf_dir))
+    return train.unionByName(test).groupBy("dyna_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def training_csv(spark, sf_dir):
+    """The training sample written as CSV and read back with inferred types."""
+    path = fresh_dir(spark, "training-csv")
+    files.write_csv(_training_sample(spark, sf_dir, 150).select(*features.TRAINING_COLUMNS), path)
+    return clean(files.read_csv(spark, path))
+
+
 def rmse_r2(spark, sf_dir):
     """The forecast that the next value is the current one, scored on all training rows."""
     rows = _training_rows(spark, sf_dir).withColumn("prediction", F.col("t"))
     return model.regression_metrics(rows).select("n", *[F.round(c, 4).alias(c) for c in ("rmse", "r2")])
 
 
+def evaluation_report(spark, sf_dir):
+    """The same, written as a report and read back."""
+    path = fresh_dir(spark, "report")
+    files.write_report(rmse_r2(spark, sf_dir), path)
+    return spark.read.schema("n bigint, rmse double, r2 double").json(path)
+
+
 def sensor_csv(spark, sf_dir):
     """Sensor history written as CSV and read back."""
     path = fresh_dir(spark, "sensor-csv")
@@ -363,6 +383,6 @@ QUERIES = {f.__name__: f for f in (
     forecast_features, naive_forecast, class_counts, class_counts_by_name, frame_volumes, frame_reports,
     batch_score, batch_score_keep_undecodable, frame_rate_cap, frame_rate_cap_sparse, train_features,
     train_features_gap, distinct_sensors, target_bands, train_sample, train_sample_topped_up, exact_sample, preview,
-    hash_split, time_split, rmse_r2, sensor_csv, latest_wins, newest_n, last_history_end, future_forecasts,
+    hash_split, random_split, time_split, training_csv, rmse_r2, evaluation_report, sensor_csv, latest_wins, newest_n, last_history_end, future_forecasts,
     camera_view, camera_list, chart_series, registry_lookup, registry_seed, publish_frames,
 )} | {"calendar_features": calendar, "calendar_legacy": calendar_legacy}

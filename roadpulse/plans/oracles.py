@@ -158,6 +158,10 @@ CLOSED = """closed AS (
 CLOSED_HIST = """closed_hist AS (
   SELECT * FROM hist WHERE window_end <= (SELECT max(end_time) FROM closed) - INTERVAL 1 MINUTE)"""
 
+METRICS = f"""WITH {training()}
+SELECT count(*) AS n, round(sqrt(avg(pow(target - t, 2))), 4) AS rmse,
+       round(1 - sum(pow(target - t, 2)) / (count(*) * var_pop(target)), 4) AS r2 FROM rows_"""
+
 SQL = {
     "obs_decode": f'WITH {OBS} SELECT event_id, cam_id, location, "timestamp", traffic_volume FROM obs',
     "header_flatten": f"""WITH {OBS}
@@ -245,9 +249,12 @@ FROM events ORDER BY md5('7|' || event_id), event_id LIMIT 1000""",
     "time_split": """WITH cut AS (SELECT min(epoch_us(ts)) + cast(floor(0.8::double *
          cast(max(epoch_us(ts)) - min(epoch_us(ts)) AS double)) AS bigint) AS cut FROM events)
 SELECT event_id AS dyna_id, CASE WHEN epoch_us(ts) <= cut THEN 'train' ELSE 'test' END AS part FROM events, cut""",
-    "rmse_r2": f"""WITH {training()}
-SELECT count(*) AS n, round(sqrt(avg(pow(target - t, 2))), 4) AS rmse,
-       round(1 - sum(pow(target - t, 2)) / (count(*) * var_pop(target)), 4) AS r2 FROM rows_""",
+    "random_split": "SELECT event_id AS dyna_id, 1::bigint AS n FROM events",
+    "training_csv": f"""WITH {training()}, picked AS (
+  SELECT * FROM rows_ ORDER BY target >= 150, md5('42|' || dyna_id), dyna_id LIMIT 2000)
+SELECT {TRAIN_ROUNDED} FROM picked""",
+    "rmse_r2": METRICS,
+    "evaluation_report": METRICS,
     "sensor_csv": """SELECT event_id AS dyna_id, 'state' AS type, ts AS "time",
        cast(user_id % 8 AS integer) AS entity_id, value AS traffic_flow FROM events""",
     "latest_wins": f"""WITH {OBS}, {ENTRIES}

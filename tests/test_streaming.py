@@ -123,6 +123,29 @@ def test_frames_to_forecasts(spark):
     assert {r.is_padded for r in rows if r.base_time_t >= at(6)} == {False}
 
 
+def test_interval_trigger(spark):
+    pipe = Pipe(spark)
+    pipe.publish("traffic-raw", BATCHES[0] + BATCHES[5])
+    df = jobs.aggregate(pipe.topics.stream("traffic-raw"))
+    query = jobs.start(pipe.topics.writer(df, HISTORY), df, f"{pipe.root}/checkpoint", "1 second", state_partitions=2)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert pipe.averages() == [(at(0), "a", 5.0), (at(0), "b", None)]
+
+
+def test_chained_in_one_query_the_windows_shift(spark):
+    """Why the jobs keep a topic between them: the time of a window is a microsecond before its end."""
+    pipe = Pipe(spark)
+    pipe.publish("traffic-raw", observations(("a", "00:00:10", 4)))
+    batch = decode_observations(pipe.topics.read("traffic-raw"))
+    ends = batch.groupBy(F.window("timestamp", "1 minute")).count().select(F.window_time("window").alias("end_time"))
+    first = ends.select(F.min(F.window("end_time", "5 minutes", "1 minute")["end"])).first()[0]
+    ours = average_volume(batch).select(F.min(F.window("end_time", "5 minutes", "1 minute")["end"])).first()[0]
+    assert ours - first == timedelta(minutes=1)
+
+
 def test_console_counter(spark):
     """The counter: a map per frame on the console, with nothing kept between runs."""
     pipe = Pipe(spark)
