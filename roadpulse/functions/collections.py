@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, functions as F
 
+# Number of lags, and the volume that stands in for a missing one.
 LAG_COUNT = 5
 FILLER = 20.0
 

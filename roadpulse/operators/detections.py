@@ -9,6 +9,7 @@ from roadpulse.functions.collections import map_total, positive_entries
 # Class ids of the COCO data set that count as vehicles.
 VEHICLE_CLASSES = {1: "bicycle", 2: "car", 3: "motorcycle", 5: "bus", 7: "truck"}
 
+# Least confidence of a detection in the monitoring job, and in the plain counter.
 DEFAULT_CONFIDENCE = 0.25
 COUNTER_CONFIDENCE = 0.4
 

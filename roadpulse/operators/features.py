@@ -9,6 +9,7 @@ from roadpulse.functions.calendar import calendar_features, legacy_calendar_feat
 from roadpulse.functions.collections import FILLER, LAG_COUNT, lag_columns, newest_padded, ordered_field
 from roadpulse.operators.lags import SPAN_ROWS, lag_lead
 
+# Names and order of the model's inputs.
 FEATURES = ["t", "t1", "t2", "t3", "t4", "hour_sin", "hour_cos", "dayofweek"]
 TRAINING_COLUMNS = [*FEATURES, "target"]
 

@@ -124,6 +124,8 @@ class YoloDetector:
 
     def decode(self, payload):
         import cv2
+        if not payload:
+            return None
         return cv2.imdecode(np.frombuffer(payload, np.uint8), cv2.IMREAD_COLOR)
 
     def detect(self, model, images):

@@ -14,6 +14,7 @@ from roadpulse.functions.envelope import decode
 from roadpulse.operators.ingest import has_camera
 from roadpulse.schemas import AGGREGATE, FORECAST
 
+# Sizes of the lists per camera, and texts of their documents.
 HISTORY_LIMIT = 30
 FORECAST_LIMIT = 288
 WAITING = "Waiting for data..."
