@@ -1,9 +1,12 @@
 """Queries and SQL of the operators, by name."""
 
-from roadpulse.llm import decontaminate
+from roadpulse.llm import decontaminate, html_text, language_id, pieces
 
 QUERIES = {
+    "op1_sentencepiece": pieces.op1_sentencepiece,
     "op2_benchmark_decontamination": decontaminate.op2_benchmark_decontamination,
+    "op8_language_id": language_id.op8_language_id,
+    "op10_html_extraction": html_text.op10_html_extraction,
 }
 SQL = {
     "op2_benchmark_decontamination": decontaminate.SQL,
