@@ -1,12 +1,13 @@
 """Queries and SQL of the operators, by name."""
 
-from roadpulse.llm import decontaminate, html_text, language_id, pieces, secret_scan, substring_dedup, url_filter
+from roadpulse.llm import decontaminate, html_text, language_id, minhash, pieces, secret_scan, substring_dedup, url_filter
 
 QUERIES = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
     "op2_benchmark_decontamination": decontaminate.op2_benchmark_decontamination,
     "op3_secret_scans": secret_scan.op3_secret_scans,
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
+    "op7_minhash_near_dedup": minhash.op7_minhash_near_dedup,
     "op8_language_id": language_id.op8_language_id,
     "op9_url_filters": url_filter.op9_url_filters,
     "op10_html_extraction": html_text.op10_html_extraction,
