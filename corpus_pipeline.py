@@ -1,11 +1,66 @@
-"""A training corpus from raw documents, in stages that each read what the one before has written."""
+"""A training corpus from raw documents, in stages that each read what the one before has written.
 
-STAGES = []
+Each stage takes the session, the documents so far and the folder of the tables, and returns documents;
+the last returns them with the ids of their pieces. Rows with null ids go through all stages.
+"""
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from roadpulse.llm import decontaminate, language_id, line_dedup, minhash, pieces
+from roadpulse.session import fresh_dir
+
+#: Documents whose best language is less alike than this have no language.
+LEAST_SCORE = 0.05
+
+
+def identify_language(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the languages of the labelled ones; those without letters, and null texts, go."""
+    judged = language_id.predict(docs, language_id.learn(docs))
+    good = (F.col("lang_pred") != language_id.NONE) & (F.col("score") >= LEAST_SCORE)
+    return judged.filter(good).select(*docs.columns)
+
+
+def remove_repeated_lines(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without lines that near-equal ones came before."""
+    cut = line_dedup.remove_lines(docs)
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def remove_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of alike five-word shingles."""
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    gone = minhash.near_duplicates(hashed).filter("doc_id is not null and not kept").select("doc_id", "text_hash")
+    return docs.join(gone, (docs["doc_id"] == gone["doc_id"]) & (F.xxhash64(docs["text"]) == gone["text_hash"]), "left_anti")
+
+
+def remove_benchmark_passages(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than one word in 20 is in a window of the benchmark."""
+    return decontaminate.remove_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def encode_pieces(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with the ids of their pieces, and whether these give the text back."""
+    model = pieces.read_model(spark)
+    both = pieces.decode(pieces.encode(docs, model), model)
+    return both.withColumn("n_tokens", F.size("ids").cast("long")).withColumn("round_trip", F.col("decoded").eqNullSafe(F.col("text"))).drop("decoded")
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("line_dedup", remove_repeated_lines),
+    ("near_dedup", remove_near_duplicates),
+    ("decontamination", remove_benchmark_passages),
+    ("sentencepiece", encode_pieces),
+]
+#: Near-equal lines, components and pieces cannot be written in SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        place = fresh_dir(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(place)
+        docs = spark.read.parquet(place)
+    return STAGES[-1][1](spark, docs, sf_dir)

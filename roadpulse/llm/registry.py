@@ -1,11 +1,12 @@
 """Queries and SQL of the operators, by name."""
 
-from roadpulse.llm import decontaminate, html_text, language_id, minhash, pieces, secret_scan, substring_dedup, top_k, url_filter
+from roadpulse.llm import decontaminate, html_text, language_id, line_dedup, minhash, pieces, secret_scan, substring_dedup, top_k, url_filter
 
 QUERIES = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
     "op2_benchmark_decontamination": decontaminate.op2_benchmark_decontamination,
     "op3_secret_scans": secret_scan.op3_secret_scans,
+    "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_exact_top_k": top_k.op5_exact_top_k,
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op7_minhash_near_dedup": minhash.op7_minhash_near_dedup,
@@ -15,5 +16,6 @@ QUERIES = {
 }
 SQL = {
     "op2_benchmark_decontamination": decontaminate.SQL,
+    "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_exact_top_k": top_k.SQL,
 }
