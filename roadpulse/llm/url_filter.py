@@ -10,7 +10,8 @@ character, so a key has no more rows than there are characters. Grams that all U
 with their scores by a plain join, which adaptive execution splits.
 
 A null or empty URL has score 0. Repeated rows get the same result; repeated URLs count once in the
-models. If either class has no URL, all scores are 0 and the threshold is 0. Extra columns stay.
+models. If either class has no URL, all scores are 0 and the threshold is 0. Extra columns stay,
+and columns with the names of the result give way; names that begin with two underscores are reserved.
 """
 
 from typing import NamedTuple
@@ -81,13 +82,21 @@ def _grams(urls: DataFrame, context: int) -> DataFrame:
             .drop("padded", "at"))
 
 
+def url_key(url: Column) -> Column:
+    """128 bits that stand for a URL where its grams are shuffled."""
+    return F.struct(F.xxhash64(url).alias("x"), F.xxhash64(F.reverse(url), F.lit(1)).alias("y"))
+
+
 def score(urls: DataFrame, context: int = CONTEXT) -> DataFrame:
-    """Distinct __url with __label (accepted, rejected or null) and __held: adds their score."""
+    """Distinct __url with __label (accepted, rejected or null) and __held: their __key, label, fold and score."""
     grams = _grams(urls, context)
     learnt = F.col("__label").isNotNull() & ~F.col("__held")
     counts = grams.groupBy("gram").agg(*[F.sum((learnt & (F.col("__label") == v)).cast("long")).alias(c) for c, v in (("a", "allow"), ("b", "block"))])
     ratios = gram_scores(counts.checkpoint(), context)
-    return grams.join(ratios, "gram").groupBy("__url", "__label", "__held").agg(F.avg("ratio").alias("score"))
+    keyed = _grams(urls.select("__url", url_key(F.col("__url")).alias("__key")), context).select("__key.x", "__key.y", "gram")
+    sums = keyed.join(ratios, "gram").groupBy("x", "y").agg(F.avg("ratio").alias("score"))
+    own = urls.select(url_key(F.col("__url")).alias("__key"), "__label", "__held").select("__key.x", "__key.y", "__label", "__held")
+    return own.join(sums, ["x", "y"])
 
 
 def threshold(scored: DataFrame) -> float:
@@ -105,14 +114,16 @@ def judge(pages: DataFrame, url: str = "url", rules=RULES, context: int = CONTEX
     """All rows and columns, with host, path, rule, verdict and score."""
     settle(pages.sparkSession)
     taken = {"host", "path", "rule", "verdict", "score"}
-    pages = pages.select(*[pages[c] for c in pages.columns if c not in taken])
+    pages = pages.select(*[pages[c] for c in pages.columns if c.lower() not in taken])
     ruled = (pages.withColumn("host", host_of(F.col(url))).withColumn("path", path_of(F.col(url)))
              .withColumn("__rule", rule_of(F.col("host"), F.col("path"), rules)))
     urls = (ruled.filter(F.length(url) > 0).select(F.col(url).alias("__url"), F.col("__rule.verdict").alias("__label"))
             .distinct().withColumn("__held", F.crc32(F.col("__url")) % 5 == 0))
     scored = score(urls, context).checkpoint()  # read for the threshold and for the result
     least = threshold(scored)
-    joined = ruled.join(scored.select("__url", "score"), F.col(url) == F.col("__url"), "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+    key = url_key(F.col(url))
+    scored = scored.select(F.col("x").alias("__x"), F.col("y").alias("__y"), F.col("score").alias("__score"))
+    joined = ruled.join(scored, (key["x"] == F.col("__x")) & (key["y"] == F.col("__y")), "left").withColumn("score", F.coalesce("__score", F.lit(0.0)))
     own = F.when(F.col("score") >= least, "allow").otherwise("block")
     return joined.select(*[pages[c] for c in pages.columns], "host", "path", F.col("__rule.rule").alias("rule"),
                          F.coalesce("__rule.verdict", own).alias("verdict"), "score")
