@@ -10,20 +10,17 @@ from pyspark.sql import functions as F
 from roadpulse.llm import decontaminate, language_id, line_dedup, minhash, pieces
 from roadpulse.session import fresh_dir
 
-#: Documents whose best language is less alike than this have no language.
-LEAST_SCORE = 0.05
-
 
 def identify_language(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages of the labelled ones; those without letters, and null texts, go."""
     judged = language_id.predict(docs, language_id.learn(docs))
-    good = (F.col("lang_pred") != language_id.NONE) & (F.col("score") >= LEAST_SCORE)
-    return judged.filter(good).select(*docs.columns)
+    return judged.filter(F.col("lang_pred") != language_id.NONE).select(*docs.columns)
 
 
 def remove_repeated_lines(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that near-equal ones came before."""
-    cut = line_dedup.remove_lines(docs)
+    """Documents without lines that near-equal ones came before; those of which nothing is left go."""
+    cut = line_dedup.remove_lines(docs.withColumn("was_blank", F.col("text").rlike(r"^\s*$")))
+    cut = cut.filter(F.col("text").isNull() | F.col("was_blank") | F.col("text").rlike(r"\S"))
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 

@@ -5,7 +5,8 @@ up, and a hit is verified against the words of the window. Documents are tokenis
 hits and one row per document are shuffled.
 
 Nulls: a null text has no words, a null item likewise. Rows that repeat an id and its text each get
-the same result. Extra columns of either table are kept out of the way and given back.
+the same result. Extra columns of either table are kept out of the way and given back; names that
+begin with two underscores are reserved.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -127,9 +128,9 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text
     hits = find_hits(docs, benchmark, id, text, **options).filter(F.size("hits") > 0)
     lead = F.regexp_extract(F.col(text), r"^[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*", 0)
     parts = F.regexp_extract_all(F.col(text), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"), F.lit(0))
-    left = F.filter(parts, lambda _, i: ~F.exists("hits", lambda x: (x["start"] <= i) & (i < x["end"])))
-    joined = _with_hits(docs, hits.select("__id", "__text", "hits"), id, text)
-    new = F.when(F.col("hits").isNotNull(), F.concat(lead, F.array_join(left, ""))).otherwise(F.col(text))
+    left = F.filter(parts, lambda _, i: ~F.exists("__hits", lambda x: (x["start"] <= i) & (i < x["end"])))
+    joined = _with_hits(docs, hits.select("__id", "__text", F.col("hits").alias("__hits")), id, text)
+    new = F.when(F.col("__hits").isNotNull(), F.concat(lead, F.array_join(left, ""))).otherwise(F.col(text))
     return joined.select(*[new.alias(c) if c == text else docs[c] for c in docs.columns])
 
 

@@ -152,37 +152,33 @@ def _first_pass(block: Block) -> str:
 
 
 def _second_pass(blocks: list[Block], classes: list[str]) -> list[bool]:
-    """Whether each block is kept."""
-    n = len(blocks)
+    """Whether each block is kept: near ones by their decided neighbours, then short ones by theirs."""
+    n, classes = len(blocks), list(classes)
 
-    def decided(order, kinds):
+    def decided(order):
         out, last, where = [None] * n, None, None
         for k in order:
             if blocks[k].article != where:  # an article ends at its edges
                 last, where = None, blocks[k].article
             out[k] = last
-            if classes[k] in kinds:
+            if classes[k] in ("good", "bad"):
                 last = classes[k]
         return out
 
-    before, after = decided(range(n), ("good", "bad")), decided(range(n - 1, -1, -1), ("good", "bad"))
-    near_before, near_after = decided(range(n), ("good", "near", "bad")), decided(range(n - 1, -1, -1), ("good", "near", "bad"))
-    kept = []
-    for k, (block, kind) in enumerate(zip(blocks, classes)):
-        sides = {before[k], after[k]}
-        if kind in ("good", "bad"):
-            kept.append(kind == "good")
-        elif block.article:
-            kept.append(sides != {"bad"})
-        elif kind == "near":
-            kept.append("good" in sides or sides == {None})
-        elif block.heading and near_after[k] in ("good", "near"):
-            kept.append(True)
-        elif sides == {"good"} or near_before[k] == near_after[k] == "near":
-            kept.append(True)
-        else:
-            kept.append("good" in sides and "bad" not in sides)
-    return kept
+    for kind in ("near", "short"):
+        before, after = decided(range(n)), decided(range(n - 1, -1, -1))
+        for k, block in enumerate(blocks):
+            sides = {before[k], after[k]}
+            if classes[k] != kind:
+                continue
+            if block.article:
+                keep = sides != {"bad"}
+            elif kind == "near":
+                keep = "good" in sides or sides == {None}
+            else:
+                keep = sides == {"good"} or block.heading and after[k] == "good" or "good" in sides and "bad" not in sides
+            classes[k] = "good" if keep else "bad"  # the neighbours were taken before
+    return [c == "good" for c in classes]
 
 
 def main_text(page: str | None) -> str:
@@ -204,7 +200,7 @@ def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFra
                                              names=[*passed, text])
 
     ship_package(pages.sparkSession)
-    passed = [c for c in pages.columns if c not in (html, text)]
+    passed = [c for c in pages.columns if c != html and c.lower() != text]
     return pages.mapInArrow(run, pages.select(*[pages[c] for c in passed]).schema.add(text, "string"))
 
 

@@ -7,7 +7,7 @@ on either side and do not cross them.
 
 Nulls and texts without a letter are `und` with score 0; so is every text if no language is learned.
 Ties go to the first language in order. Rows are judged one by one, so repeated rows and ids change
-nothing; extra columns stay. Sums are of integers, so the order of rows does not matter.
+nothing; extra columns stay, and columns with the names of the result give way. Sums are of integers, so the order of rows does not matter.
 """
 
 from collections.abc import Iterator
@@ -147,7 +147,7 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray], text: str = "text"
                                              names=[*passed, *names])
 
     ship_package(docs.sparkSession)
-    passed = [c for c in docs.columns if c not in names]
+    passed = [c for c in docs.columns if c.lower() not in names]
     schema = docs.select(*[docs[c] for c in passed]).schema.add(names[0], "string").add(names[1], "double")
     return docs.select(*[docs[c] for c in passed]).mapInArrow(judge, schema)
 

@@ -15,7 +15,8 @@ line of a class, by document and place, stays and the others go.
 Equal lines are one line here, by 96 bits of hash. Lines of fewer than `least` characters stay and link
 with nothing, so do null and empty texts. Repeated rows are documents of their own. Of repeated ids,
 and where ids are null (last), the order of equal places is that of the lines; rows with equal id and
-text lose the same lines, so that the first occurrence stays in each of them. Extra columns stay.
+text lose the same lines, so that the first occurrence stays in each of them. Extra columns stay; names that
+begin with two underscores are reserved.
 """
 
 from collections.abc import Iterator
@@ -264,11 +265,11 @@ def removed_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", edits
 
 def remove_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", edits: int = EDITS, least: int = LEAST) -> DataFrame:
     """All rows and columns; the text has the lines that stay."""
-    gone = removed_lines(docs, id, text, edits, least)
+    gone = removed_lines(docs, id, text, edits, least).withColumnRenamed("removed", "__removed")
     joined = docs.join(gone, F.col(id).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text)) == F.col("__text")), "left")
     # numbers and lines are both in order, so the lines that stay are those at the places not in `removed`
-    kept = F.filter(F.split(F.col(text), "\n", -1), lambda _, k: ~F.array_contains("removed", k))
-    new = F.when(F.col("removed").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
+    kept = F.filter(F.split(F.col(text), "\n", -1), lambda _, k: ~F.array_contains("__removed", k))
+    new = F.when(F.col("__removed").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
     return joined.select(*[new.alias(c) if c == text else docs[c] for c in docs.columns])
 
 

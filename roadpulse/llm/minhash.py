@@ -13,7 +13,7 @@ bucket is expanded into pairs of rows, and no cluster is read by one task.
 
 A null or empty text has no shingles and is linked with nothing. A text of fewer words than a shingle
 is one shingle. Rows of equal sets are equal, also if they repeat an id; a null id is linked, but never
-names a component. Extra columns stay, and columns with the names of the result give way.
+names a component. Extra columns stay, and columns with the names of the result, or of two underscores in front, give way.
 """
 
 from collections.abc import Iterator
@@ -162,7 +162,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
     """All rows and columns but the text, with n_shingles, component_id and kept."""
     spark = docs.sparkSession
     settle(spark)
-    docs = docs.select(*[docs[c] for c in docs.columns if c not in ("n_shingles", "component_id", "kept") and not c.startswith("__")])
+    docs = docs.select(*[docs[c] for c in docs.columns if c.lower() not in ("n_shingles", "component_id", "kept") and not c.startswith("__")])
     place = fresh_dir(spark, "signatures")  # read for the buckets and for the result
     signatures(docs, text, words).write.parquet(place)
     signed = spark.read.parquet(place)

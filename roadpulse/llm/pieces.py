@@ -188,7 +188,7 @@ def encode(df: DataFrame, model: bytes, text: str = "text", ids: str = "ids") ->
     """All rows and columns with the ids of the pieces of the text."""
     shared = df.sparkSession.sparkContext.broadcast(model)
     ship_package(df.sparkSession)
-    passed = [c for c in df.columns if c != ids]
+    passed = [c for c in df.columns if c.lower() != ids]
     schema = df.select(*[df[c] for c in passed]).schema.add(ids, T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,7 +210,7 @@ def decode(df: DataFrame, model: bytes, ids: str = "ids", text: str = "decoded")
     """All rows and columns with the text that the ids stand for."""
     shared = df.sparkSession.sparkContext.broadcast(model)
     ship_package(df.sparkSession)
-    passed = [c for c in df.columns if c != text]
+    passed = [c for c in df.columns if c.lower() != text]
     schema = df.select(*[df[c] for c in passed]).schema.add(text, "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -34,7 +34,8 @@ _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=~-]{16,}")
 _SENSITIVE = re.compile(r"pass(?:word|wd|phrase)?\b|secret|token|credential|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|signature|salt\b|pwd", re.I | re.A)
 BEFORE = 48  # characters in which a sensitive word must stand before a candidate
 AROUND = 1024  # characters of context on either side
-NOVELTY = 0.7  # compressed bytes for each character
+NOVELTY = 0.9  # compressed bytes for each character
+PART = 32  # characters measured at once; the coder shortens letters of longer strings by their frequency alone
 
 #: What code is made of; a dictionary of raw content has its most likely parts last.
 IDENTIFIERS = """abstract argument assert async await boolean break buffer callback catch channel class client column commit config connect const
@@ -63,7 +64,9 @@ class Novelty:
 
     def of(self, text: str, start: int, end: int) -> float:
         before, after = text[max(0, start - AROUND) : start], text[end : end + AROUND]
-        return (self.size(before + after + text[start:end]) - self.size(before + after)) / (end - start)
+        parts = [text[k : min(k + PART, end)] for k in range(start, end, PART)]
+        alone = self.size(before + after)
+        return sum(self.size(before + after + part) - alone for part in parts) / (end - start)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -101,7 +104,7 @@ def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty, l
 def scan(docs: DataFrame, text: str = "text", spans: str = "spans", identifiers: list[str] = IDENTIFIERS, least: float = NOVELTY) -> DataFrame:
     """All rows and columns but the text, with an array of structs of kind, start and end, by start and then kind."""
     ship_package(docs.sparkSession)
-    passed = [c for c in docs.columns if c not in (text, spans)]
+    passed = [c for c in docs.columns if c != text and c.lower() != spans]
     span = T.StructType().add("kind", "string").add("start", "integer").add("end", "integer")
     schema = docs.select(*[docs[c] for c in passed]).schema.add(spans, T.ArrayType(span))
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))

@@ -100,7 +100,7 @@ def _hashes(table: pa.Table | None) -> np.ndarray | None:
 def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """All rows; the text is replaced by kept (its words that stay, joined by one space), n_words and n_removed."""
     ship_package(docs.sparkSession)
-    docs = docs.select(*[docs[c] for c in docs.columns if c not in _MADE])
+    docs = docs.select(*[docs[c] for c in docs.columns if c.lower() not in (*_MADE, "__chunk")])
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     chunks = max(1, math.ceil(total / chunk_bytes))
     spread = [c for c, kind in docs.dtypes if not kind.startswith(("map", "variant"))]

@@ -58,7 +58,7 @@ class Tree:
                 if not len(rest):
                     break
                 near = self._distances(int(rest[0]), rest) <= radius / 2
-                if near.sum() > self.leaf // 4:
+                if near.sum() >= self.leaf // 4:
                     node["children"].append(self._node(rest[near]))
                 else:
                     few.append(rest[near])
@@ -84,7 +84,7 @@ class Search:
         self.scores = np.full((len(queries), k), -np.inf)
         self.found = np.full((len(queries), k), np.iinfo(np.int64).max)
         self.scored = 0
-        self.asked, self.data = Tree(queries), Tree(self.x)
+        self.asked, self.data = Tree(queries, LEAF // 4), Tree(self.x)
         self.worst = np.full(len(queries), -np.inf)  # of each query in the order of its tree
         self._walk(self.asked.root, self.data.root)
 
