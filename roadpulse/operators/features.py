@@ -24,11 +24,17 @@ class FeatureSpec:
     legacy_calendar: bool = False
     legacy_padded_flag: bool = False
 
+    @property
+    def history(self) -> str:
+        """How long the history is that the lags come from."""
+        number, unit = self.lag_step.split()
+        return f"{LAG_COUNT * int(number)} {unit.removesuffix('s')}s"
+
     def calendar(self, ts: Column) -> dict[str, Column]:
         return legacy_calendar_features(ts) if self.legacy_calendar else calendar_features(ts)
 
 
-def training_features(history: DataFrame, series: str = "entity_id", time: str = "time",
+def training_features(history: DataFrame, spec: FeatureSpec = FeatureSpec(), series: str = "entity_id", time: str = "time",
                       flow: str = "traffic_flow", tie: str | None = None, keep: Sequence[str] = (),
                       span_rows: int | None = SPAN_ROWS, max_gap_seconds: int | None = None) -> DataFrame:
     """Lags t..t4, calendar features and the next value as `target`; rows with a null are dropped."""
@@ -36,7 +42,7 @@ def training_features(history: DataFrame, series: str = "entity_id", time: str =
     lagged = lag_lead(history.filter(F.col(time).isNotNull()), series, order, flow, LAG_COUNT - 1, 1,
                       span_rows, max_gap_seconds)
     columns = {"t": F.col(flow)} | {f"t{k}": F.col(f"lag_{k}") for k in range(1, LAG_COUNT)}
-    columns |= calendar_features(F.col(time)) | {"target": F.col("lead_1")}
+    columns |= spec.calendar(F.col(time)) | {"target": F.col("lead_1")}
     complete = lagged.dropna(how="any")
     return complete.select(*keep, *[c.alias(name) for name, c in columns.items()])
 

@@ -1,6 +1,6 @@
 """Frames and observations as they arrive."""
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from roadpulse.functions.envelope import CORRUPT, decode, encode, parse_time
 from roadpulse.functions.headers import header_text, make_headers
@@ -34,9 +34,10 @@ def has_camera(record: Column) -> Column:
     return record["cam_id"] != ""
 
 
-def decode_observations(messages: DataFrame, keep=()) -> DataFrame:
-    """Observations of known cameras, with a parsed event time."""
-    rows = decode(messages, OBSERVATION, keep=keep, where=has_camera)
+def decode_observations(messages: DataFrame, keep=(), detail: bool = True) -> DataFrame:
+    """Observations of known cameras, with a parsed event time; without `detail` the counts per class are not parsed."""
+    schema = OBSERVATION if detail else T.StructType([f for f in OBSERVATION if f.name != "detail"])
+    rows = decode(messages, schema, keep=keep, where=has_camera)
     return rows.withColumn("timestamp", parse_time(F.col("timestamp")))
 
 
@@ -94,8 +95,15 @@ def cap_frame_rate(frames: DataFrame, fps: float = 1.0, time: str = "timestamp",
 
 def cap_frame_rate_stream(frames: DataFrame, fps: float = 1.0, time: str = "timestamp",
                           delay: str = "10 seconds") -> DataFrame:
-    """One frame of each camera per slot, the first to arrive; state is dropped after `delay`."""
+    """One frame of each camera per slot, the first to arrive.
+
+    The watermark follows the ends of slots, so the state of a slot lives until `delay` after its end,
+    however long it is; a frame of a slot that ended more than `delay` before is late.
+    """
+    micros = round(1_000_000 / fps)
+    end = F.timestamp_micros((F.col("__slot") + 1) * micros)
     return (frames.withColumn("__slot", _slot(time, fps))
-            .withWatermark(time, delay)
+            .withColumn("__end", end)
+            .withWatermark("__end", delay)
             .dropDuplicatesWithinWatermark(["cam_id", "__slot"])
-            .drop("__slot"))
+            .drop("__slot", "__end"))

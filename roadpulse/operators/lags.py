@@ -5,18 +5,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-MOST_SPLIT_SERIES = 10_000
 SPAN_ROWS = 4_000_000
+HOUR = 3_600_000_000  # microseconds
 
 
 def lag_lead(df: DataFrame, series: str, order: Sequence[str], value: str, lags: int, leads: int,
              span_rows: int | None = SPAN_ROWS, max_gap_seconds: int | None = None) -> DataFrame:
     """Columns `lag_1`.. and `lead_1`.. of `value` along each series, by row.
 
-    The first column of `order` is the time; `order` must be total within a series. A series of more
-    than `span_rows` rows is cut into spans of time of about that size, which are sorted apart, so
-    that one series may hold most of the rows. Rows near the ends of a span look across it: for them,
-    and only for them, lag and lead run once more along the whole series. None cuts no series.
+    The first column of `order` is the time; `order` must be total within a series. Each series is cut
+    into spans of time of about `span_rows` rows, which are sorted apart, so that one series may hold
+    most of the rows. The first and last rows of a span look across its ends: for them, a handful in
+    `span_rows`, lag and lead run once more along the whole series. None cuts no series.
 
     `max_gap_seconds` empties a lag or lead of k rows that lies more than k such gaps away.
     """
@@ -44,7 +44,7 @@ def lag_lead(df: DataFrame, series: str, order: Sequence[str], value: str, lags:
         "*",
         *[step(k, inside).alias(name) for name, k in steps.items()],
         *[exists(k).alias(f"__has_{name}") for name, k in steps.items()],
-        (F.col("__span").isNull() | (exists(reach) & exists(-reach))).alias("__settled"),
+        (exists(reach) & exists(-reach)).alias("__settled"),
     )
     # The first and last `reach` rows of all spans hold every row a look across a span can meet.
     edges = placed.filter(~F.col("__settled")).select(*df.columns, *[
@@ -55,19 +55,33 @@ def lag_lead(df: DataFrame, series: str, order: Sequence[str], value: str, lags:
 
 
 def _with_spans(df: DataFrame, series: str, time: str, span_rows: int) -> DataFrame:
-    """`__span` numbers the spans of a long series; null for a series in one piece.
+    """`__span` is in the order of time and holds about `span_rows` rows of a series.
 
-    A span is as long as `span_rows` rows take in the densest hour of its series. Only the longest
-    series are cut, as many as the limit says: any other has less than that part of all rows. So the
-    broadcast side has a size that does not grow with the data.
+    Quiet hours are merged by a running count of the hours before; an hour of more rows is cut at seconds,
+    by a running count in the hour, and a second of more rows at equal parts of the time between its first and last. Hours are few for each
+    series, and an hour has no more cuts than it has spans.
     """
-    hourly = df.groupBy(series, F.floor(F.unix_seconds(time) / 3600).alias("__hour")).agg(F.count(F.lit(1)).alias("__n"))
-    totals = hourly.groupBy(F.col(series).alias("__series")).agg(F.sum("__n").alias("__total"),
-                                                                 F.max("__n").alias("__densest"))
-    width = F.greatest(F.lit(1), F.floor(F.lit(3_600_000_000 * span_rows) / F.col("__densest")).cast("bigint"))
-    long_ones = (totals.filter(F.col("__total") > span_rows)
-                 .orderBy(F.desc("__total"), "__series").limit(MOST_SPLIT_SERIES)
-                 .select("__series", width.alias("__width")))
-    number = F.floor(F.unix_micros(time) / F.col("__width"))
-    return (df.join(F.broadcast(long_ones), F.col(series) == F.col("__series"), "left")
-            .withColumn("__span", number).drop("__series", "__width"))
+    micros = F.unix_micros(time)
+    rows = df.select(F.col(series).alias("s"), micros.alias("m")).withColumn("h", F.floor(F.col("m") / HOUR))
+    hourly = rows.groupBy("s", "h").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("s").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    hourly = hourly.withColumn("block", F.floor(before / span_rows))
+
+    dense = hourly.filter(F.col("n") > span_rows).select("s", "h")
+    seconds = (rows.join(dense, ["s", "h"], "left_semi").groupBy("s", "h", F.floor(F.col("m") / 1_000_000).alias("second"))
+               .agg(F.count(F.lit(1)).alias("n"), F.min("m").alias("first"), F.max("m").alias("last")))
+    in_hour = Window.partitionBy("s", "h").orderBy("second")
+    begun = F.floor(F.coalesce(F.sum("n").over(in_hour.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) / span_rows)
+    parts = F.ceil(F.col("n") / span_rows)
+    cuts = (seconds.withColumn("begun", begun)
+            .withColumn("new", F.col("begun") > F.coalesce(F.lag("begun").over(in_hour), F.lit(-1)))
+            .filter(F.col("new") | (F.col("n") > span_rows))
+            .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+            .filter(F.col("new") | (F.col("part") > 0))
+            .groupBy("s", "h").agg(F.array_sort(F.collect_list(
+                F.col("first") + F.floor(F.col("part") * (F.col("last") - F.col("first") + 1) / parts))).alias("__cuts")))
+    spans = hourly.join(cuts, ["s", "h"], "left").select(F.col("s").alias("__s"), F.col("h").alias("__h"), F.col("block").alias("__block"), "__cuts")
+    past = F.size(F.filter("__cuts", lambda c: c <= micros))
+    span = F.struct(F.col("__block").alias("block"), F.when(F.col("__cuts").isNull(), 0).otherwise(past).alias("slice"))
+    placed = df.join(spans, F.col(series).eqNullSafe(F.col("__s")) & F.floor(micros / HOUR).eqNullSafe(F.col("__h")), "left")
+    return placed.withColumn("__span", span).drop("__s", "__h", "__block", "__cuts")

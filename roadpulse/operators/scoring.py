@@ -1,11 +1,8 @@
 """Batch scoring of frame payloads with a pluggable detector."""
 
 import functools
-import json
-from dataclasses import dataclass
 from typing import Any, Protocol
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -39,8 +36,8 @@ def score_frames(frames: DataFrame, detector: Detector, workers: int | None = No
                  sub_batch: int = 20, spread_by: tuple[str, ...] = ("cam_id", "timestamp")) -> DataFrame:
     """The frames without their payload, with `detections`: null where the payload cannot be decoded.
 
-    `workers` spreads the frames over that many tasks, by camera and time, so that one busy camera
-    uses all of them and a repeated task sees the same frames.
+    `workers` spreads the frames over that many tasks, by camera, time and payload, so that one busy camera
+    uses all of them, with or without times, and a repeated task sees the same frames.
     """
     kept = [c for c in frames.columns if c != "value"]
     schema = T.StructType([*[frames.schema[c] for c in kept], T.StructField("detections", DETECTIONS)])
@@ -67,10 +64,14 @@ def score_frames(frames: DataFrame, detector: Detector, workers: int | None = No
 
     ship_package(frames.sparkSession)
     if workers:
-        frames = frames.repartition(workers, *spread_by)
+        frames = spread(frames, workers, spread_by)
     return frames.select(*kept, "value").mapInArrow(run, schema)
 
 
+def spread(frames: DataFrame, workers: int, by: tuple[str, ...] = ("cam_id", "timestamp")) -> DataFrame:
+    return frames.repartition(workers, *by, F.xxhash64("value"))
+
+
 def observe(scored: DataFrame, min_conf: float = DEFAULT_CONFIDENCE, undecodable: str = "drop",
             classes=VEHICLE_CLASSES) -> DataFrame:
     """Scored frames to observations.
@@ -85,49 +86,3 @@ def observe(scored: DataFrame, min_conf: float = DEFAULT_CONFIDENCE, undecodable
     return (scored.withColumn("detail", count_in_array(boxes, min_conf, classes))
             .withColumn("traffic_volume", map_total(F.col("detail")))
             .drop("detections"))
-
-
-@dataclass(frozen=True)
-class VectorDetector:
-    """Detector over a JSON array of numbers: one box per stripe, its maximum as the confidence.
-
-    A stand-in with the interface of an image model, for tests and for machines without one.
-    """
-
-    stripes: int = 8
-
-    def load(self):
-        return self.stripes
-
-    def decode(self, payload):
-        try:
-            image = np.asarray(json.loads(payload), dtype=np.float32)
-        except (ValueError, TypeError):
-            return None
-        return image if image.ndim == 1 and image.size >= self.stripes else None
-
-    def detect(self, model, images):
-        return [[(i, float(part.max())) for i, part in enumerate(np.array_split(image, model))]
-                for image in images]
-
-
-@dataclass(frozen=True)
-class YoloDetector:
-    """Detector over encoded images with an Ultralytics model; needs `ultralytics` and `cv2` on the workers."""
-
-    weights: str = "yolo11s.pt"
-    min_conf: float = DEFAULT_CONFIDENCE
-
-    def load(self):
-        from ultralytics import YOLO
-        return YOLO(self.weights)
-
-    def decode(self, payload):
-        import cv2
-        if not payload:
-            return None
-        return cv2.imdecode(np.frombuffer(payload, np.uint8), cv2.IMREAD_COLOR)
-
-    def detect(self, model, images):
-        found = model.predict(images, conf=self.min_conf, classes=list(VEHICLE_CLASSES), verbose=False)
-        return [list(zip(map(int, r.boxes.cls.tolist()), r.boxes.conf.tolist())) for r in found]

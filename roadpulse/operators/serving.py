@@ -27,10 +27,11 @@ _FORECAST_FIELDS = [f.name for f in _FORECAST_ONLY]
 
 
 def serving_entries(messages: DataFrame, history_topic: str, forecast_topic: str,
-                    order: Sequence[str] = ("timestamp", "offset")) -> DataFrame:
+                    order: Sequence[str] = ("offset", "timestamp")) -> DataFrame:
     """Entries of the messages of two topics; messages without camera or time are left out.
 
-    Messages are versions in the given order, and messages equal in it in one that depends on nothing else.
+    Messages are versions in the given order: that of arrival in a partition, which is where all messages
+    of a camera are; clocks of producers may run backwards. Equal ones go by what they hold.
     """
     kind = F.when(F.col("topic") == history_topic, "history").when(F.col("topic") == forecast_topic, "forecast")
     seq = F.struct(*order, F.xxhash64("value").alias("tie"))
@@ -53,12 +54,6 @@ def latest_wins(entries: DataFrame, keys: Sequence[str], order: Sequence[str] =
     return entries.withColumn("__rank", F.row_number().over(versions)).filter("__rank = 1").drop("__rank")
 
 
-def newest(entries: DataFrame, n: int, series: Sequence[str], time: str = "time_key") -> DataFrame:
-    """The n newest rows of each series; at most n of a series leave each task."""
-    by_time = Window.partitionBy(*series).orderBy(F.desc(time))
-    return entries.withColumn("__rank", F.row_number().over(by_time)).filter(f"__rank <= {int(n)}").drop("__rank")
-
-
 def merge_entries(entries: DataFrame, history_limit: int = HISTORY_LIMIT,
                   forecast_limit: int = FORECAST_LIMIT) -> DataFrame:
     """Latest version per kind, camera and time, and of those the newest of each kind.
@@ -92,19 +87,24 @@ def camera_states(entries: DataFrame) -> DataFrame:
     )
 
 
+def _registered(registry: DataFrame) -> DataFrame:
+    """One location for each camera, also if its id is registered twice: the least, as a table has no first row."""
+    return registry.groupBy(F.col("camera_id").alias("cam_id")).agg(F.min("location").alias("__registered"))
+
+
 def locate(messages: DataFrame, registry: DataFrame, reported: str = "location") -> DataFrame:
     """Location of each row: as reported, else registered, else unknown.
 
     The plan leaves it to Spark to broadcast the registry, which it does by size.
     """
-    known = registry.select(F.col("camera_id").alias("cam_id"), F.col("location").alias("__registered"))
+    known = _registered(registry)
     place = F.coalesce(reported, "__registered", F.lit(UNKNOWN))
     return messages.join(known, "cam_id", "left").withColumn("location", place).drop("__registered")
 
 
 def seed_registered(states: DataFrame, registry: DataFrame, keep: Sequence[Column] = ()) -> DataFrame:
     """Camera states with every registered camera, heard of or not."""
-    known = registry.select(F.col("camera_id").alias("cam_id"), F.col("location").alias("__registered"))
+    known = _registered(registry)
     place = F.coalesce("location", "__registered", F.lit(UNKNOWN))
     updated = F.coalesce(F.col("last_updated").cast("string"), F.lit(WAITING))
     return (states.join(known, "cam_id", "full")

@@ -166,7 +166,7 @@ def frame_reports(spark, sf_dir):
 
 def _scored(spark, sf_dir):
     flat = ingest.flatten_frames(tables.vector_frames(spark, sf_dir), keep=["offset"])
-    return scoring.score_frames(flat, scoring.VectorDetector())
+    return flat.withColumn("detections", tables.striped_detections(F.col("value"))).drop("value")
 
 
 def batch_score(spark, sf_dir):
@@ -192,13 +192,10 @@ def frame_rate_cap_sparse(spark, sf_dir):
 
 # Training data
 
-# Small, so that the sensors of these tables are long series; a cluster takes the default.
-SPAN_ROWS = 1000
-
 
 def _training_rows(spark, sf_dir):
     return features.training_features(tables.sensor_history(spark, sf_dir), tie="dyna_id",
-                                      keep=["dyna_id", "entity_id", "time"], span_rows=SPAN_ROWS)
+                                      keep=["dyna_id", "entity_id", "time"])
 
 
 def train_features(spark, sf_dir):
@@ -208,7 +205,7 @@ def train_features(spark, sf_dir):
 def train_features_gap(spark, sf_dir):
     """Lags across more than half an hour per step count as missing."""
     rows = features.training_features(tables.sensor_history(spark, sf_dir), tie="dyna_id",
-                                      keep=["dyna_id", "entity_id", "time"], span_rows=SPAN_ROWS, max_gap_seconds=1800)
+                                      keep=["dyna_id", "entity_id", "time"], max_gap_seconds=1800)
     return clean(rows)
 
 
@@ -259,9 +256,14 @@ def time_split(spark, sf_dir):
 
 
 def random_split(spark, sf_dir):
-    """Both parts of the seeded split, which together are the table."""
-    train, test = sampling.split_random(tables.sensor_history(spark, sf_dir))
-    return train.unionByName(test).groupBy("dyna_id").agg(F.count(F.lit(1)).alias("n"))
+    """The parts of the seeded split: together the table, apart from each other, and near their shares."""
+    train, test = [p.select("dyna_id", F.lit(n).alias("train")) for p, n in
+                   zip(sampling.split_random(tables.sensor_history(spark, sf_dir)), (1, 0))]
+    rows = train.unionByName(test).groupBy("dyna_id").agg(F.count(F.lit(1)).alias("n"), F.sum("train").alias("train"))
+    share = F.sum("train") / F.sum("n")
+    # four standard deviations of a share of 0.8
+    near = F.abs(share - 0.8) <= 4 * F.sqrt(F.lit(0.16) / F.sum("n"))
+    return rows.agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("in_parts"), near.alias("train_is_near_its_share"))
 
 
 def training_csv(spark, sf_dir):

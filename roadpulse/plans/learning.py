@@ -12,25 +12,30 @@ from roadpulse.plans.results import clean
 from roadpulse.operators.windows import volume_history
 from roadpulse.schemas import FORECAST
 from roadpulse.session import fresh_dir
-from roadpulse.sources import files
 from roadpulse.streaming import jobs
 
 
+#: Volumes to learn, by day: trees fit a step of one feature exactly, so each forecast is known.
+WEEKEND, WEEKDAY = 30.0, 60.0
+#: The averages that are served are hourly ones.
+SPEC = features.FeatureSpec(lag_step="1 hour")
+
+
 def _training_table(spark, sf_dir):
-    """The training sample as a CSV table, so that the many passes of the training do not rebuild it."""
-    rows = features.training_features(tables.sensor_history(spark, sf_dir), tie="dyna_id", keep=["dyna_id", "time"])
+    """The training sample with the volumes to learn as a table, so that the many passes of the training do not rebuild it."""
+    rows = features.training_features(tables.sensor_history(spark, sf_dir), SPEC, tie="dyna_id", keep=["dyna_id", "time"])
     sample = sampling.sample_preferring(rows, 2000, F.col("target") < 150, ["dyna_id"])
     path = fresh_dir(spark, "training")
-    files.write_csv(sample, path)
-    schema = sample.schema
-    return files.read_csv(spark, path, schema)
+    volume = F.when(F.col("dayofweek") >= 5, WEEKEND).otherwise(WEEKDAY)
+    sample.withColumn("target", volume).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def _train_and_save(spark, sf_dir):
     # Rows overlap with their neighbours in time, so a random split would test on what was trained on.
     train, test = sampling.split_by_time(_training_table(spark, sf_dir), 0.8, "time")
     path = fresh_dir(spark, "model")
-    model.save_model(model.train(train), path)
+    model.save_model(model.train(train), path, SPEC)
     return path, test
 
 
@@ -49,16 +54,17 @@ def gbt_train_eval(spark, sf_dir):
 
 
 def gbt_forecast(spark, sf_dir):
-    fitted = model.load_model(_saved_model(spark, sf_dir))
-    history = volume_history(tables.hourly_averages(spark, sf_dir), "5 hours", "1 hour")
-    return clean(forecast.forecasts(features.serving_features(history), fitted))
+    path = _saved_model(spark, sf_dir)
+    fitted, spec = model.load_model(path), model.load_spec(path)
+    history = volume_history(tables.hourly_averages(spark, sf_dir), spec.history, spec.lag_step)
+    return clean(forecast.forecasts(features.serving_features(history, spec), fitted, spec))
 
 
 def stream_forecast(spark, sf_dir):
     """Events to averages to forecasts, as two streaming queries with a topic between them."""
-    fitted = model.load_model(_saved_model(spark, sf_dir))
+    path = _saved_model(spark, sf_dir)
     topics, root = streams._aggregated(spark, sf_dir)
-    messages = jobs.forecast(topics.stream(TOPICS[0]), fitted, length="5 hours", slide="1 hour")
+    messages = jobs.forecast(topics.stream(TOPICS[0]), model.load_model(path), model.load_spec(path))
     streams.run(topics.writer(messages, TOPICS[1]), messages, f"{root}/checkpoint-forecast")
     return clean(decode(topics.read(TOPICS[1]), FORECAST))
 

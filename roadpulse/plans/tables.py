@@ -82,6 +82,14 @@ def vector_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame_messages(shaped, keep=["offset"])
 
 
+def striped_detections(value: Column) -> Column:
+    """Boxes of a payload that is a JSON array of 64 numbers: the maxima of its eight stripes; null for another payload."""
+    numbers = F.from_json(value.cast("string"), "array<float>")
+    stripes = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.struct(
+        i.alias("class_id"), F.array_max(F.slice(numbers, i * 8 + 1, 8)).cast("double").alias("conf")))
+    return F.when(F.size(numbers) == 64, stripes)
+
+
 def serving_messages(rows: DataFrame, places: DataFrame) -> DataFrame:
     """An hourly average and a forecast message per event; later events replace earlier ones."""
     observed = observe_events(rows, places)

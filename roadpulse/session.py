@@ -13,27 +13,28 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names for checkpoints and intermediate tables.
-
-    A local session without the setting gets a temporary folder, once; a cluster without it
-    is an error, since a machine-local folder is lost with its machine.
-    """
+    """The shared folder the cluster names for checkpoints and intermediate tables, or else one in the warehouse."""
     named = spark.conf.get(CHECKPOINT_SETTING, None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
-    return _local_dir(spark.sparkContext.applicationId)
+    return named.rstrip("/") if named else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
 
 
-@functools.cache
-def _local_dir(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix="roadpulse-")
+def fresh_dir(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder; it is not created, and goes with the application."""
+    return f"{_application_dir(shared_dir(spark), spark.sparkContext)}/{name}-{uuid.uuid4().hex}"
 
 
-def fresh_dir(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder; it is not created."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+_made: set[str] = set()
+
+
+def _application_dir(shared: str, context) -> str:
+    path = f"{shared}/{context.applicationId}"
+    if path not in _made:
+        _made.add(path)
+        hadoop = context._jvm.org.apache.hadoop.fs.Path(path)
+        system = hadoop.getFileSystem(context._jsc.hadoopConfiguration())
+        system.mkdirs(hadoop)
+        system.deleteOnExit(hadoop)
+    return path
 
 
 def ship_package(spark: SparkSession) -> None:

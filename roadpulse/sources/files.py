@@ -44,9 +44,11 @@ def read_image_frames(spark: SparkSession, paths: Iterable[str], cam_id: str, lo
                         headers.alias("headers"), "path")
 
 
-def stream_parquet(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    """A stream of the rows of a Parquet table, be it a directory or a single file."""
+def stream_parquet(spark: SparkSession, path: str, schema: str | T.StructType, per_trigger: int | None = None) -> DataFrame:
+    """A stream of the rows of a Parquet table, be it a directory or a single file; `per_trigger` counts files."""
     reader = spark.readStream.schema(schema)
+    if per_trigger:
+        reader = reader.option("maxFilesPerTrigger", per_trigger)
     if _status(spark, path).isDirectory():
         return reader.parquet(path)
     # A file source reads directories only.

@@ -8,9 +8,11 @@ from roadpulse.schemas import REGISTRY
 
 
 def registry(spark: SparkSession, cameras: Iterable[Mapping[str, str]]) -> DataFrame:
-    """Registry from the `cameras` list of a job's configuration."""
-    names = REGISTRY.fieldNames()
-    return spark.createDataFrame([tuple(c.get(n) for n in names) for c in cameras], REGISTRY)
+    """Registry from the `cameras` list of a job's configuration; the first entry of a camera counts."""
+    names, first = REGISTRY.fieldNames(), {}
+    for camera in cameras:
+        first.setdefault(camera.get("camera_id"), camera)
+    return spark.createDataFrame([tuple(c.get(n) for n in names) for c in first.values()], REGISTRY)
 
 
 def camera_list(cameras: DataFrame) -> DataFrame:

@@ -57,11 +57,19 @@ class DirectoryTopics:
     def path(self, topic: str) -> str:
         return f"{self.root}/{topic}"
 
-    def stream(self, topics, per_trigger: int | None = None) -> DataFrame:
-        """`per_trigger` counts files, not messages."""
+    def stream(self, topics, starting: str | None = None, per_trigger: int | None = None, headers: bool = True,
+               tolerate_loss: bool = False) -> DataFrame:
+        """Called as the streams of a broker are.
+
+        `per_trigger` counts files, not messages. Headers are always there, and files that go missing are
+        passed over only if loss is tolerated. A directory has no "latest"; a stream reads all of it.
+        """
+        if starting not in (None, "earliest"):
+            raise ValueError(f"a directory topic starts at the first message, not at {starting}")
         reader = self.spark.readStream.schema(TOPIC_ROW)
         if per_trigger:
             reader = reader.option("maxFilesPerTrigger", per_trigger)
+        reader = reader.option("ignoreMissingFiles", tolerate_loss)
         # One source per topic, so that each honours the commit log of the query writing to it.
         return reduce(DataFrame.unionByName, [reader.parquet(self.path(t)) for t in _as_list(topics)])
 
@@ -79,17 +87,16 @@ class DirectoryTopics:
 def _topic_rows(messages: DataFrame, topic: str) -> DataFrame:
     """Topic rows; `offset` and `timestamp` may be given, as the producer's own.
 
-    Messages of one micro-batch share their time and have no offset.
+    Partition, offset and type of time are a broker's; they are null where the producer gives none.
     """
     given = set(messages.columns)
-    offset = F.lit(None) if messages.isStreaming else F.monotonically_increasing_id()
     filled = {
         "headers": F.lit(None),
         "topic": F.lit(topic),
-        "partition": F.lit(0),
-        "offset": offset,
+        "partition": F.lit(None),
+        "offset": F.lit(None),
         "timestamp": F.current_timestamp(),
-        "timestampType": F.lit(0),
+        "timestampType": F.lit(None),
     }
     columns = []
     for field in TOPIC_ROW:

@@ -28,7 +28,7 @@ def monitor(frames: DataFrame, detector: Detector, workers: int | None = None, *
 
 def aggregate(messages: DataFrame, window: str = "1 minute", delay: str | None = "10 seconds") -> DataFrame:
     """Observation messages to messages of window averages."""
-    averages = average_volume(decode_observations(messages), window, delay)
+    averages = average_volume(decode_observations(messages, detail=False), window, delay)
     return encode(averages, "cam_id", AGGREGATE.fieldNames())
 
 
@@ -39,9 +39,12 @@ def history(messages: DataFrame, length: str = "5 minutes", slide: str = "1 minu
 
 
 def forecast(messages: DataFrame, model: PipelineModel, spec: FeatureSpec = FeatureSpec(),
-             length: str = "5 minutes", slide: str = "1 minute", delay: str | None = "1 minute",
+             length: str | None = None, slide: str | None = None, delay: str | None = "1 minute",
              require_latest: bool = False) -> DataFrame:
-    """Messages of window averages to forecast messages."""
+    """Messages of window averages to forecast messages, over the windows that the model's spec names."""
+    length, slide = length or spec.history, slide or spec.lag_step
+    if slide != spec.lag_step:
+        raise ValueError(f"the model has learned lags of {spec.lag_step}, not of {slide}")
     features = serving_features(history(messages, length, slide, delay), spec, require_latest)
     return encode(forecasts(features, model, spec), "cam_id", FORECAST.fieldNames())
 

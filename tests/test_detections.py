@@ -1,13 +1,12 @@
 import json
-import sys
 from dataclasses import dataclass
-from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from roadpulse.operators import detections as det
-from roadpulse.operators.scoring import VectorDetector, YoloDetector, observe, score_frames
+from roadpulse.operators.scoring import observe, score_frames
+from tests.detectors import VectorDetector
 from roadpulse.sources.files import read_image_frames
 
 BOXES = [("f1", 2, .9), ("f1", 2, .3), ("f1", 5, .2), ("f1", 0, .9)]
@@ -84,28 +83,6 @@ def test_undecodable_frames(spark):
         observe(scored, undecodable="other")
 
 
-def test_image_model_adapter(monkeypatch):
-    """The adapter against stand-ins for the libraries it needs."""
-    def vector(*numbers):
-        return SimpleNamespace(tolist=lambda: list(numbers))
-
-    class Model:
-        def __init__(self, weights):
-            self.weights = weights
-
-        def predict(self, images, conf, classes, verbose):
-            assert (self.weights, conf, classes) == ("w.pt", 0.25, [1, 2, 3, 5, 7])
-            return [SimpleNamespace(boxes=SimpleNamespace(cls=vector(2.0, 7.0), conf=vector(.5, .75))) for _ in images]
-
-    monkeypatch.setitem(sys.modules, "ultralytics", SimpleNamespace(YOLO=Model))
-    monkeypatch.setitem(sys.modules, "cv2", SimpleNamespace(
-        IMREAD_COLOR=1, imdecode=lambda data, flag: data if data[0] == 1 else None))
-    detector = YoloDetector("w.pt")
-    assert detector.decode(b"\x00") is None
-    images = [detector.decode(b"\x01"), detector.decode(b"\x01\x02")]
-    assert detector.detect(detector.load(), images) == [[(2, .5), (7, .75)]] * 2
-
-
 def test_no_frames_keep_the_schema(spark):
     rows = observe(score_frames(frames(spark, [b"x"]).filter("cam_id = 'none'"), VectorDetector()))
     assert rows.count() == 0

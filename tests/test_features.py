@@ -93,15 +93,17 @@ def test_lags_across_spans_match_one_sort(spark, seed):
         assert {r.n: tuple(r[c] for c in names) for r in got.collect()} == want
 
 
-def test_only_the_longest_series_are_cut(spark, monkeypatch):
-    """Series beyond the limit stay in one piece and are no less right."""
-    monkeypatch.setattr(lags, "MOST_SPLIT_SERIES", 1)
-    rows = [(s, START + timedelta(minutes=i), i) for s, n in (("a", 60), ("b", 50), ("c", 2)) for i in range(n)]
+def test_spans_hold_about_as_many_rows_each(spark):
+    """A burst of hours, one of a second, and a quiet tail: all spans are about as deep, and lags are right."""
+    burst = [START + timedelta(milliseconds=20 * i) for i in range(20_000)]
+    second = [START + timedelta(hours=5, microseconds=i) for i in range(5_000)]
+    quiet = [START + timedelta(hours=9, minutes=i) for i in range(20_000)]
+    rows = [("a", at, i) for i, at in enumerate(burst + second + quiet)] + [("b", START, 0), (None, START, 0)]
     df = spark.createDataFrame(rows, "s string, at timestamp, n int")
-    spans = lags._with_spans(df, "s", "at", 10).groupBy("s").agg(F.countDistinct("__span").alias("k")).collect()
-    assert {r.s: r.k for r in spans} == {"a": 6, "b": 0, "c": 0}
-    got = lag_lead(df, "s", ["at"], "n", 1, 1, span_rows=10).collect()
-    assert all(r.lag_1 == (r.n - 1 if r.n else None) for r in got) and len(got) == 112
+    spans = lags._with_spans(df, "s", "at", 2000).filter("s = 'a'").groupBy("__span").agg(F.count(F.lit(1)).alias("n")).collect()
+    assert max(r.n for r in spans) <= 4000 and len(spans) <= 2 * 45_000 / 2000
+    got = lag_lead(df, "s", ["at"], "n", 2, 1, span_rows=2000).filter("s = 'a'").collect()
+    assert len(got) == 45_000 and all(r.lag_2 == (r.n - 2 if r.n > 1 else None) and r.lead_1 == (r.n + 1 if r.n < 44_999 else None) for r in got)
 
 
 def test_gaps_empty_lags(spark):
@@ -113,6 +115,15 @@ def test_gaps_empty_lags(spark):
         assert got == {0: (None, None, 60), 60: (0, None, None), 600: (None, 0, None)}
 
 
+def test_few_rows_meet_in_the_last_sort_of_a_sample(spark):
+    df = spark.range(200_000).repartition(20)
+    picked = sampling.sample_exact(df, 50, ["id"])
+    key = sampling.sample_key(["id"], 42)
+    assert {r.id for r in picked.collect()} == {r.id for r in df.orderBy(key).limit(50).collect()}
+    plan = picked._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" in plan and "substring" in plan
+
+
 def test_samples(spark):
     df = spark.range(500).withColumn("target", F.col("id").cast("double"))
     picked = sampling.sample_preferring(df, 120, F.col("target") < 100, ["id"])

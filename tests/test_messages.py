@@ -1,4 +1,3 @@
-import os
 from datetime import datetime
 from types import SimpleNamespace
 
@@ -90,7 +89,11 @@ def test_topic_round_trip(spark):
     topics.publish(spark.createDataFrame([("k", "v2", 7)], "key string, value string, offset long"), "two")
     rows = topics.read(["one", "two"])
     assert rows.schema.fieldNames() == TOPIC_ROW.fieldNames()
-    assert {(bytes(r.value), r.topic, r.offset) for r in rows.collect()} == {(b"v1", "one", 0), (b"v2", "two", 7)}
+    assert {(bytes(r.value), r.topic, r.offset) for r in rows.collect()} == {(b"v1", "one", None), (b"v2", "two", 7)}
+    # called as a broker's stream is
+    assert topics.stream("one", starting="earliest", per_trigger=5, headers=True, tolerate_loss=True).isStreaming
+    with pytest.raises(ValueError):
+        topics.stream("one", starting="latest")
 
 
 def test_kafka_options(spark):
@@ -102,14 +105,10 @@ def test_kafka_options(spark):
         "failOnDataLoss": "false"}
 
 
-def session(master, named):
-    settings = SimpleNamespace(get=lambda name, default: named or default)
-    return SimpleNamespace(conf=settings, sparkContext=SimpleNamespace(master=master, applicationId="test"))
-
+def test_shared_folder(spark):
+    def session(**settings):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda name, *default: settings.get(name, *default)))
 
-def test_shared_folder():
-    assert shared_dir(session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
-    local = shared_dir(session("local[2]", None))
-    assert os.path.isdir(local) and shared_dir(session("local[2]", None)) == local
-    with pytest.raises(ValueError):
-        shared_dir(session("yarn", None))
+    assert shared_dir(session(**{"spark.checkpoint.dir": "hdfs:///shared/"})) == "hdfs:///shared"
+    assert shared_dir(session(**{"spark.sql.warehouse.dir": "hdfs:///warehouse"})) == "hdfs:///warehouse/_intermediate"
+    assert fresh_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))

@@ -8,15 +8,19 @@ from pyspark.sql import functions as F
 from roadpulse.functions.envelope import decode
 from roadpulse.operators import model, serving
 from roadpulse.operators.detections import COUNTER_CONFIDENCE
-from roadpulse.operators.ingest import cap_frame_rate, decode_observations, frame_messages
-from roadpulse.operators.scoring import VectorDetector, observe, score_frames
+from roadpulse.operators.features import FeatureSpec
+from roadpulse.operators.ingest import cap_frame_rate, cap_frame_rate_stream, decode_observations, frame_messages
+from roadpulse.operators.scoring import observe, score_frames
+from roadpulse.operators.serving import locate
 from roadpulse.operators.windows import average_volume, closed_windows
 from roadpulse.schemas import AGGREGATE, FORECAST
 from roadpulse.session import fresh_dir
+from roadpulse.sources.files import stream_parquet
 from roadpulse.sources.registry import camera_list, registry
 from roadpulse.sources.topics import DirectoryTopics
 from roadpulse.streaming import jobs
 from roadpulse.streaming.upsert import ServingTable
+from tests.detectors import VectorDetector
 from tests.test_features import training_table
 
 DAY = datetime(2025, 1, 1)
@@ -274,3 +278,30 @@ def test_rate_cap_keeps_the_first_of_a_slot(spark):
                                "cam_id string, timestamp timestamp, n int")
     assert {r.n for r in cap_frame_rate(df, 1).collect()} == {1, 3, 4}
     assert {r.n for r in cap_frame_rate(df, 2).collect()} == {1, 2, 3, 4, 6}
+
+
+def test_one_frame_per_slot_over_many_batches(spark, tmp_path):
+    """Four frames of one slot of ten minutes, each in a batch of its own, and one of the next slot."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    start = datetime(2025, 1, 1)
+    for seconds in (5, 120, 300, 540, 700):
+        (spark.createDataFrame([("c", start + timedelta(seconds=seconds))], "cam_id string, timestamp timestamp")
+         .coalesce(1).write.mode("append").parquet(source))
+    frames = stream_parquet(spark, source, "cam_id string, timestamp timestamp", per_trigger=1)
+    capped = cap_frame_rate_stream(frames, fps=1 / 600)
+    writer = capped.writeStream.format("parquet").option("path", out)
+    jobs.start(writer, capped, str(tmp_path / "checkpoint"), "available now", state_partitions=2).awaitTermination()
+    got = sorted(r.timestamp for r in spark.read.parquet(out).collect())
+    assert got == [start + timedelta(seconds=s) for s in (5, 700)]
+
+
+def test_a_job_must_use_the_lags_of_its_model(spark):
+    with pytest.raises(ValueError):
+        jobs.forecast(None, None, FeatureSpec(lag_step="5 minutes"), slide="1 minute")
+    assert FeatureSpec(lag_step="5 minutes").history == "25 minutes" and FeatureSpec().history == "5 minutes"
+
+
+def test_a_camera_that_is_registered_twice_doubles_nothing(spark):
+    twice = spark.createDataFrame([("c", "b"), ("c", "a")], "camera_id string, location string")
+    rows = locate(spark.createDataFrame([("c", None)], "cam_id string, location string"), twice).collect()
+    assert [(r.cam_id, r.location) for r in rows] == [("c", "a")]
