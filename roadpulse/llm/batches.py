@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are worked on at once; one longer text is a slice of its own.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 #: Fixed odd multipliers and their inverses modulo 2**64.
 _BASES = tuple((b, pow(b, -1, 1 << 64)) for b in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F))
 #: The white space of words: \x20 and \x09-\x0D.

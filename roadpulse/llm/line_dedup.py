@@ -37,6 +37,7 @@ EDITS, LEAST = 2, 20
 BLOCK_ROWS = 1024
 BINS = 32
 _PAIRS = 4096  # verified at once
+_CELLS = 4_000_000  # characters in a table of them
 
 
 def segment(length, parts: int, k: int):
@@ -61,11 +62,9 @@ def _keys(line: str, length: str, edits: int) -> Column:
         for k in range(edits + 1):
             start, size = segment(other, edits + 1, k)
             for shift in shifts(less, edits, k):
-                at = start + shift
-                inside = (at >= 0) & (at + size <= F.col(length))
-                key = F.xxhash64(F.lit(k), other, F.substring(F.col(line), at + 1, size))
-                out.append(F.when(inside, F.struct(key.alias("key"), F.lit(less == 0 and shift == 0).alias("own"))))
-    return F.array_compact(F.array(*out))
+                key = F.xxhash64(F.lit(k), other, F.substring(F.col(line), start + shift + 1, size))
+                out.append(F.struct(key.alias("key"), F.lit(less == 0 and shift == 0).alias("own")))
+    return F.array(*out)
 
 
 def _lines(docs: DataFrame, id: str, text: str, least: int) -> DataFrame:
@@ -110,14 +109,22 @@ def distances(codes: np.ndarray, sizes: np.ndarray, long: np.ndarray, short: np.
     return np.where((np.abs(m - n) > edits) | (distance > edits), edits + 1, distance)
 
 
-def _codes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def _points(line: str) -> np.ndarray:
+    return np.frombuffer(line.encode("utf-32-le"), np.int32)
+
+
+def _table(lines: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.array([len(s) for s in lines], np.int64)
     codes = np.full((len(lines), int(sizes.max(initial=0)) + 1), -2, np.int32)
     for k, s in enumerate(lines):
-        codes[k, : len(s)] = np.frombuffer(s.encode("utf-32-le", "surrogatepass"), np.int32)
+        codes[k, : len(s)] = s
     return codes, sizes
 
 
+def _codes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    return _table([_points(s) for s in lines])
+
+
 def bins(lines: list[str]) -> np.ndarray:
     """How often characters of each bin occur; an edit changes two counts by one at most."""
     out = np.zeros((len(lines), BINS), np.int32)
@@ -153,6 +160,49 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield pa.Table.from_batches(held)
 
 
+class _Verifier:
+    """Pairs of several groups, verified together; links are a spanning forest of each group."""
+
+    def __init__(self, edits: int):
+        self.edits, self.pairs, self.links = edits, [], []
+
+    def add(self, forest: _Forest, names: list[str], lines: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> None:
+        for i, j in zip(a.tolist(), b.tolist()):
+            if forest.root(i) != forest.root(j):
+                self.pairs.append((forest, names, i, j, *self._trimmed(lines[i], lines[j])))
+                if len(self.pairs) >= _PAIRS:
+                    self.verify()
+
+    def _trimmed(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The longer one first, without equal beginnings and ends, but for as much as the band needs."""
+        x, y = (x, y) if len(x) >= len(y) else (y, x)
+        n = len(y)
+        other = np.flatnonzero(x[:n] != y)
+        head = int(other[0]) if len(other) else n
+        other = np.flatnonzero(x[len(x) - n :][::-1] != y[::-1])
+        tail = int(other[0]) if len(other) else n
+        spare = n - self.edits - 1
+        head = max(0, min(head, spare))
+        tail = max(0, min(tail, spare - head))
+        return x[head : len(x) - tail], y[head : n - tail]
+
+    def verify(self) -> None:
+        pairs = sorted(self.pairs, key=lambda p: len(p[4]))
+        self.pairs = []
+        while pairs:
+            # as many as fit in a table of bounded size
+            count = 1
+            while count < len(pairs) and (count + 1) * len(pairs[count][4]) <= _CELLS:
+                count += 1
+            part, pairs = pairs[:count], pairs[count:]
+            codes, sizes = _table([p[4] for p in part] + [p[5] for p in part])
+            near = distances(codes, sizes, np.arange(count), np.arange(count) + count, self.edits) <= self.edits
+            for k in np.flatnonzero(near).tolist():
+                forest, names, i, j, *_ = part[k]
+                if forest.tie(i, j):
+                    self.links.append((names[i], names[j]))
+
+
 def _sides(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Rows of the lower and of the upper block of a group (all of them, if it is one block)."""
     block = table.column("block").to_numpy()
@@ -173,6 +223,8 @@ def _in_blocks(rows: DataFrame) -> DataFrame:
 
 def line_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", edits: int = EDITS, least: int = LEAST) -> DataFrame:
     """x and y (the hashes of a line) and class, for lines that are linked to another text."""
+    if least < (edits + 2) ** 2:
+        raise ValueError(f"lines of {least} characters are too short for segments that move by {edits}")
     spark = docs.sparkSession
     settle(spark)
     ship_package(spark)
@@ -215,32 +267,26 @@ def line_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", edits:
     link_type = T.StructType().add("a", "string").add("b", "string")
 
     def verify(batches):
+        verifier = _Verifier(edits)
         for table in _groups(batches, _BLOCK):
             names = [f"{x}:{y}" for x, y in zip(table.column("x").to_pylist(), table.column("y").to_pylist())]
             own = table.column("own").to_numpy(zero_copy_only=False)
-            texts_here = table.column("line").to_pylist()
-            counts = bins(texts_here)
-            low, high = _sides(table)
-            forest, links = _Forest(len(names)), []
-            for a, b in _near(counts, low, high, edits):
-                fits = (own[a] | own[b])
-                a, b = a[fits], b[fits]
-                for start in range(0, len(a), _PAIRS):
-                    p, q = a[start : start + _PAIRS], b[start : start + _PAIRS]
-                    apart = np.array([forest.root(i) != forest.root(j) for i, j in zip(p.tolist(), q.tolist())], bool)
-                    p, q = p[apart], q[apart]
-                    if not len(p):
-                        continue
-                    used, at = np.unique(np.r_[p, q], return_inverse=True)
-                    codes, sizes = _codes([texts_here[k] for k in used.tolist()])
-                    p_at, q_at = at[: len(p)], at[len(p) :]
-                    swap = sizes[p_at] < sizes[q_at]
-                    d = distances(codes, sizes, np.where(swap, q_at, p_at), np.where(swap, p_at, q_at), edits)
-                    for i, j in zip(p[d <= edits].tolist(), q[d <= edits].tolist()):
-                        if forest.tie(i, j):
-                            links.append((names[i], names[j]))
-            if links:
-                yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in links]), pa.array([b for _, b in links])], names=["a", "b"])
+            here = table.column("line").to_pylist()
+            counts, points, forest = bins(here), [_points(s) for s in here], _Forest(len(here))
+            for a, b in _near(counts, *_sides(table), edits):
+                fits = own[a] | own[b]
+                if table.column("i")[0] == table.column("j")[0]:
+                    fits &= a < b
+                verifier.add(forest, names, points, a[fits], b[fits])
+            yield from links_of(verifier)
+        verifier.verify()
+        yield from links_of(verifier)
+
+    def links_of(verifier):
+        if verifier.links:
+            a, b = zip(*verifier.links)
+            verifier.links = []
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     blocks = _in_blocks(met.join(texts, ["x", "y"]).select("key", "x", "y", "own", "line"))
     links = blocks.mapInArrow(verify, link_type)

@@ -31,7 +31,7 @@ from roadpulse.session import ship_package
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 MOST_MODEL_BYTES = 64 << 20
-MOST_KEPT = 400_000
+MOST_KEPT = 200_000
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6  # fixed values of the file format
 
 
