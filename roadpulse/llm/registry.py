@@ -16,6 +16,5 @@ QUERIES = {
 }
 SQL = {
     "op2_benchmark_decontamination": decontaminate.SQL,
-    "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_exact_top_k": top_k.SQL,
 }

@@ -25,3 +25,7 @@ def test_all_queries_have_sql():
 
 def test_entry_has_rows(spark):
     assert entry(spark).count() > 0
+
+
+def test_sql_is_text():
+    assert all(isinstance(sql, str) for sql in SQL.values())
