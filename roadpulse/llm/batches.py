@@ -101,3 +101,21 @@ def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     total = int(counts.sum())
     before = np.cumsum(counts) - counts
     return np.repeat(starts - before, counts) + np.arange(total)
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Tables of equal keys from batches that are sorted by them."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        table = pa.Table.from_batches(held)
+        columns = [table.column(c).to_numpy() for c in keys]
+        new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+        edges = np.r_[0, new]
+        for a, b in zip(edges[:-1], edges[1:]):
+            yield table.slice(int(a), int(b - a))
+        held = table.slice(int(edges[-1])).to_batches()
+    if held:
+        yield pa.Table.from_batches(held)

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from roadpulse.llm.batches import groups
 from roadpulse.llm.components import components
 from roadpulse.llm.minhash import _Forest
 from roadpulse.llm.tables import settle
@@ -142,24 +143,6 @@ def _near(counts: np.ndarray, a: np.ndarray, b: np.ndarray, edits: int) -> Itera
         yield part[i], b[j]
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Tables of equal keys from batches that are sorted by them."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append(batch)
-        table = pa.Table.from_batches(held)
-        columns = [table.column(c).to_numpy() for c in keys]
-        new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
-        edges = np.r_[0, new]
-        for a, b in zip(edges[:-1], edges[1:]):
-            yield table.slice(int(a), int(b - a))
-        held = table.slice(int(edges[-1])).to_batches()
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 class _Verifier:
     """Pairs of several groups, verified together; links are a spanning forest of each group."""
 
@@ -213,7 +196,7 @@ _BLOCK = ["key", "i", "j"]
 
 
 def _in_blocks(rows: DataFrame) -> DataFrame:
-    """Rows of a key in all pairs of blocks they take part in, sorted for _groups."""
+    """Rows of a key in all pairs of blocks they take part in, sorted for groups."""
     size = F.count(F.lit(1)).over(W.partitionBy("key"))
     return (rows.withColumn("blocks", F.ceil(size / BLOCK_ROWS).cast("int")).withColumn("block", F.pmod(F.xxhash64("x", "y"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -250,7 +233,7 @@ def line_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", edits:
     pair_type = T.StructType().add("key", "long").add("x", "long").add("y", "integer").add("own", "boolean")
 
     def partners(batches):
-        for table in _groups(batches, _BLOCK):
+        for table in groups(batches, _BLOCK):
             counts = np.stack([np.frombuffer(c, np.int32) for c in table.column("counts").to_pylist()])
             own = table.column("own").to_numpy(zero_copy_only=False)
             low, high = _sides(table)
@@ -268,7 +251,7 @@ def line_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", edits:
 
     def verify(batches):
         verifier = _Verifier(edits)
-        for table in _groups(batches, _BLOCK):
+        for table in groups(batches, _BLOCK):
             names = [f"{x}:{y}" for x, y in zip(table.column("x").to_pylist(), table.column("y").to_pylist())]
             own = table.column("own").to_numpy(zero_copy_only=False)
             here = table.column("line").to_pylist()

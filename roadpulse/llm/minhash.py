@@ -2,14 +2,15 @@
 
 1. Each document becomes its set of word shingles: a digest of the set, the low bits of its minima, and
    a key for each band of minima. Documents of equal sets are one node from here on.
-2. In each band, all nodes with a key are tied to the least of them. A tie stays if the similarity
-   estimated from the low bits, corrected for chance agreement, is not far below the threshold.
-   Components of the ties are clusters: a link between documents lies inside a cluster.
+2. In each band, all nodes with a key are tied to the least of them, the hub. A tie stays if the similarity
+   estimated from the low bits, corrected for chance agreement, is not far below the threshold. Nodes that
+   are not so near to the hub that all they may be linked with is tied to it as well are compared with each
+   other, block by block. Components of the ties are clusters: a link between documents lies inside a cluster.
 3. Clusters are cut into blocks, and each pair of blocks is one task that confirms links on full sets
    and returns a spanning forest of them. Components of the links are the result.
 
 With 64 bands of 6 minima, two documents of similarity 0.8 share no band with probability 3.5e-9. No
-bucket is expanded into pairs of rows, and no cluster is read by one task.
+bucket is expanded into pairs of rows that are written, and no bucket's rest and no cluster is read by one task.
 
 A null or empty text has no shingles and is linked with nothing. A text of fewer words than a shingle
 is one shingle. Rows of equal sets are equal, also if they repeat an id; a null id is linked, but never
@@ -33,6 +34,10 @@ from roadpulse.session import fresh_dir, ship_package
 BANDS, ROWS = 64, 6
 BITS = 2  # kept of each minimum
 TIE = 0.4  # estimated similarity from which a tie stays; eight standard errors and more below 0.8
+#: Estimated similarity to the hub from which a node is done with the bucket. Bits that differ add up along a
+#: path, so what it may be linked with (estimated six standard errors below 0.8 at least) is tied to the hub too.
+DONE = 0.75
+REST_ROWS = 1024  # nodes of a bucket in a block, compared by their bits
 BLOCK_ROWS, BLOCK_BYTES = 600, 8_000_000
 _random = np.random.Generator(np.random.Philox(key=7))
 _XOR = _random.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
@@ -164,21 +169,26 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
     settle(spark)
     docs = docs.select(*[docs[c] for c in docs.columns if c.lower() not in ("n_shingles", "component_id", "kept") and not c.startswith("__")])
     place = fresh_dir(spark, "signatures")  # read for the buckets and for the result
-    signatures(docs, text, words).write.parquet(place)
+    signatures(docs.withColumn("__text", F.xxhash64(text)), text, words).write.parquet(place)
     signed = spark.read.parquet(place)
-    nodes = signed.filter("__set is not null").groupBy("__set").agg(F.min(id).alias("rep"), F.first("__bands").alias("bands"), F.first("__bits").alias("bits"))
+    nodes = signed.filter("__set is not null").groupBy("__set").agg(F.min(id).alias("rep"), F.min("__text").alias("__text"), F.first("__bands").alias("bands"), F.first("__bits").alias("bits"))
 
     keyed = nodes.select("__set", F.explode("bands").alias("key"))
     in_bucket = W.partitionBy("key")
-    ties = (keyed.withColumn("hub", F.min("__set").over(in_bucket)).filter("hub <> __set")
-            .select("hub", F.col("__set").alias("spoke")).distinct())
+    met = keyed.withColumn("hub", F.min("__set").over(in_bucket)).filter("hub <> __set").select("key", "hub", F.col("__set").alias("spoke")).checkpoint()
     bits = nodes.select("__set", "bits")
-    ties = (ties.join(bits.toDF("hub", "x"), "hub").join(bits.toDF("spoke", "y"), "spoke")
-            .filter(similarity("x", "y") >= TIE).select("hub", "spoke"))
+    pairs = (met.select("hub", "spoke").distinct().join(bits.toDF("hub", "x"), "hub").join(bits.toDF("spoke", "y"), "spoke")
+             .select("hub", "spoke", similarity("x", "y").alias("similarity")).checkpoint())
+    rest = met.join(pairs.filter(F.col("similarity") < DONE), ["hub", "spoke"]).select("key", F.col("spoke").alias("__set"))
+    ties = pairs.filter(F.col("similarity") >= TIE).select("hub", "spoke").unionByName(_rest_ties(rest, bits).toDF("hub", "spoke"))
     clusters = components(ties, "hub", "spoke").toDF("__set", "cluster")
 
-    members = nodes.select("__set", "rep").join(clusters, "__set").filter("rep is not null")
-    texts = docs.select(F.col(id).alias("rep"), F.col(text).alias("text")).join(members, "rep")
+    members = nodes.select("__set", "rep", "__text").join(clusters, "__set")
+    texts = docs.select(F.col(id).alias("rep"), F.col(text).alias("text")).join(members.drop("__text"), "rep")
+    # sets of null ids only: their texts by hash, one for each set
+    unnamed = docs.filter(F.col(id).isNull()).select(F.xxhash64(text).alias("__text"), F.col(text).alias("text"))
+    unnamed = unnamed.join(members.filter("rep is null"), "__text").dropDuplicates(["__set", "text"])
+    texts = texts.unionByName(unnamed.drop("__text"))
     links = _links(texts, words, percent)
     found = components(links, "a", "b").toDF("__set", "component")
 
@@ -191,6 +201,42 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
     return out.select(*kept, component.alias("component_id"), F.coalesce(F.col(id) == component, F.lit(False)).alias("kept"))
 
 
+def _near_bits(bits: np.ndarray, low: np.ndarray, high: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs of a row of `low` and one of `high` whose estimated similarity reaches TIE."""
+    mask = np.uint64(sum(1 << (k * BITS) for k in range(64 // BITS)))
+    most = BANDS * ROWS * (1 - TIE) * (1 - 1 / (1 << BITS))
+    forest, found = _Forest(len(bits)), []
+    for a in low.tolist():
+        different = bits[high] ^ bits[a]
+        for b in high[np.bitwise_count((different | (different >> np.uint64(1))) & mask).sum(1, dtype=np.int64) <= most].tolist():
+            if a != b and forest.tie(a, b):
+                found.append((a, b))
+    return found
+
+
+def _rest_ties(rest: DataFrame, bits: DataFrame) -> DataFrame:
+    """Ties a, b between nodes that share a key in `rest`, as a spanning forest for each pair of blocks of a key."""
+    rows = (rest.withColumn("rows", F.count(F.lit(1)).over(W.partitionBy("key"))).filter("rows > 1")
+            .withColumn("blocks", F.ceil(F.col("rows") / REST_ROWS).cast("int")).join(bits, "__set")
+            .withColumn("block", F.pmod(F.xxhash64("__set"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+            .select("key", "i", "j", "block", "__set", "bits")
+            .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
+    schema = T.StructType().add("a", "binary").add("b", "binary")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in B.groups(batches, ["key", "i", "j"]):
+            sets, block = group.column("__set"), group.column("block").to_numpy()
+            codes = group.column("bits").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(block), -1)
+            found = _near_bits(codes, np.flatnonzero(block == group.column("i")[0].as_py()), np.flatnonzero(block == group.column("j")[0].as_py()))
+            if found:
+                a, b = zip(*found)
+                yield pa.RecordBatch.from_arrays([sets.take(pa.array(x)).combine_chunks() for x in (a, b)], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
 def _links(texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Confirmed links a, b between sets of one cluster, as a spanning forest for each pair of blocks."""
     sizes = texts.groupBy("cluster").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("text")).alias("size"))

@@ -107,6 +107,36 @@ def test_near_duplicates(spark, docs, monkeypatch):
         assert sorted(map(tuple, got)) == sorted((k, len(s), roots[k], roots[k] == k) for k, s in sets.items())
 
 
+def test_near_duplicates_beside_a_template(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "REST_ROWS", 3)  # blocks of a bucket meet as well
+    template = [f"t{k}" for k in range(60)]
+    rows = []
+    for k in range(400):  # a page frame and words of their own: similarity 0.3 to each other
+        own = template + [f"{k // 2 if k < 120 else k}w{n}" for n in range(70)]
+        rows.append((k, " ".join(own + [f"{k}x{n}" for n in range(10)] if k < 120 else own)))
+    sets = {k: {tuple(w[n : n + 2]) for n in range(len(w) - 1)} for k, w in ((k, t.encode().split()) for k, t in rows)}
+    roots = linked(sets)
+    assert sum(roots[k] != k for k in roots) == 60
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    # one band of one minimum that all share: every node is in the hub's bucket
+    monkeypatch.setattr(minhash, "signatures", one_bucket(minhash.signatures))
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, words=2).collect()}
+    assert got == roots
+
+
+def test_null_ids_are_linked(spark):
+    w = [f"w{k}" for k in range(100)]
+    bridge = [w[:94], w[3:97], w[6:]]  # the ends are linked by the one in the middle only
+    rows = [(5, " ".join(bridge[0]))] + [(None, " ".join(bridge[1]))] * 2 + [(7, " ".join(bridge[2])), (None, "one two"), (9, " ".join(w[:40]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id or 0, r.component_id, r.kept) for r in minhash.near_duplicates(docs, words=2, percent=90).collect()), key=repr)
+    assert got == sorted([(5, 5, True), (0, 5, False), (0, 5, False), (7, 5, False), (0, None, False), (9, 9, True)], key=repr)
+
+
+def one_bucket(signatures):
+    return lambda *a: signatures(*a).withColumn("__bands", F.when(F.col("__bands").isNotNull(), F.array(F.lit(1).cast("long"))))
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
