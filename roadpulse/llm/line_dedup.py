@@ -12,8 +12,8 @@ line of a class, by document and place, stays and the others go.
 3. Pairs are verified by banded bit-parallel edit distance, many at a time, and each block returns a
    spanning forest of its links. Large keys are cut into blocks, and each pair of blocks is one task.
 
-Equal lines are one line here, by 96 bits of hash. Lines of fewer than `least` characters stay and link
-with nothing, so do null and empty texts. Repeated rows are documents of their own. Of repeated ids,
+Equal lines are one line here, by 96 bits of hash. Lines of fewer than `least` characters are linked with
+equal ones only. Lines of white space stay, as do null and empty texts. Repeated rows are documents of their own. Of repeated ids,
 and where ids are null (last), the order of equal places is that of the lines; rows with equal id and
 text lose the same lines, so that the first occurrence stays in each of them. Extra columns stay; names that
 begin with two underscores are reserved.
@@ -69,9 +69,9 @@ def _keys(line: str, length: str, edits: int) -> Column:
 
 
 def _lines(docs: DataFrame, id: str, text: str, least: int) -> DataFrame:
-    """__doc, __at, line, and its hashes x and y, for lines that take part."""
+    """__id, __text, __at, line, and its hashes x and y, for lines of `least` characters that are not blank."""
     return (docs.select(F.col(id).alias("__id"), F.xxhash64(F.col(text)).alias("__text"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("__at", "line"))
-            .filter(F.length("line") >= least)
+            .filter((F.length("line") >= least) & F.col("line").rlike(r"\S"))
             .withColumn("x", F.xxhash64("line")).withColumn("y", F.hash("line", F.lit(1))))
 
 
@@ -281,7 +281,7 @@ def line_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", edits:
 def removed_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", edits: int = EDITS, least: int = LEAST) -> DataFrame:
     """__id and __text (its hash) of documents that lose lines, with the numbers of those lines from 0 in order."""
     classes = line_classes(docs, id, text, edits, least).checkpoint()
-    lines = _lines(docs, id, text, least).select("__id", "__text", "__at", "x", "y")
+    lines = _lines(docs, id, text, 1).select("__id", "__text", "__at", "x", "y")  # short ones are removed if they are equal
     at = F.struct(F.col("__id").isNull().alias("last"), "__id", "__text", "__at")
     counted = lines.groupBy("x", "y").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n"))
     named = counted.join(classes, ["x", "y"], "left").filter("n > 1 or class is not null")

@@ -196,6 +196,16 @@ def test_lines(spark, docs, monkeypatch):
         assert left[r.doc_id] == (None if r.text is None else "\n".join(kept))
 
 
+def test_equal_short_lines(spark, folder):
+    short, long = "Ment que.", "A line of well over twenty characters."
+    text = f"{short}\n{long}\n\nEnd."
+    rows = [(1, text, "en", "s", 0), (2, text, "en", "s", 0), (3, f"{long} \n{short}\n\nMent qua.", "en", "s", 0)]
+    docs = cases.documents(spark, rows)
+    assert {r["__id"]: r.removed for r in line_dedup.removed_lines(docs).collect()} == {2: [0, 1, 3], 3: [0, 1]}
+    left = {r.doc_id: r.text for r in corpus_pipeline.remove_repeated_lines(spark, docs, folder).collect()}
+    assert left == {1: text, 3: "\nMent qua."}
+
+
 def test_languages(spark):
     rows = [(k, cases.prose(k % 2 + 1, 80), ("aa", "bb")[k % 2], "s", 0) for k in range(40)] + [(90, "12 …", "aa", "s", 0), (91, None, "bb", "s", 0), (92, "", None, "s", 0), (93, cases.prose(1, 50), None, "s", 0)]
     docs = cases.documents(spark, rows)
