@@ -1,6 +1,6 @@
 """Queries and SQL of the operators, by name."""
 
-from roadpulse.llm import decontaminate, html_text, language_id, line_dedup, minhash, pieces, secret_scan, substring_dedup, top_k, url_filter, whitening
+from roadpulse.llm import decontaminate, html_text, language_id, line_dedup, minhash, packing, pieces, secret_scan, substring_dedup, top_k, url_filter, whitening
 
 QUERIES = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
@@ -14,6 +14,7 @@ QUERIES = {
     "op9_url_filters": url_filter.op9_url_filters,
     "op10_html_extraction": html_text.op10_html_extraction,
     "op11_embedding_whitening": whitening.op11_embedding_whitening,
+    "op12_packing": packing.op12_packing,
 }
 SQL = {
     "op2_benchmark_decontamination": decontaminate.SQL,
