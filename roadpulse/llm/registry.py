@@ -1,6 +1,9 @@
 """Queries and SQL of the operators, by name."""
 
-from roadpulse.llm import decontaminate, html_text, language_id, line_dedup, minhash, packing, pieces, secret_scan, substring_dedup, top_k, url_filter, whitening
+from roadpulse.llm import (
+    conversation_repair, decontaminate, html_text, language_id, line_dedup, minhash, packing, pieces, secret_scan, substring_dedup, top_k, url_filter,
+    whitening,
+)
 
 QUERIES = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
@@ -15,6 +18,7 @@ QUERIES = {
     "op10_html_extraction": html_text.op10_html_extraction,
     "op11_embedding_whitening": whitening.op11_embedding_whitening,
     "op12_packing": packing.op12_packing,
+    "op13_conversation_repair": conversation_repair.op13_conversation_repair,
 }
 SQL = {
     "op2_benchmark_decontamination": decontaminate.SQL,

@@ -1,6 +1,7 @@
-"""Where operators cut lineage."""
+"""Where operators cut lineage, and rows with numbers."""
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from roadpulse.session import fresh_dir
 
@@ -10,3 +11,18 @@ def settle(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(fresh_dir(spark, "checkpoints"))
+
+
+def numbered(rows: DataFrame, name: str) -> DataFrame:
+    """The rows in a written table, with `row`, a number from 0 without gaps in the order of the tasks and in them."""
+    spark = rows.sparkSession
+    place = fresh_dir(spark, name)
+    # the number of the task and the place in it, which the table then holds fast
+    rows.withColumn("__task", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)).write.parquet(place)
+    written = spark.read.parquet(place)
+    before, starts = 0, []
+    for task, count in sorted(map(tuple, written.groupBy("__task").count().collect())):  # one row for each task
+        starts.append((task, before))
+        before += count
+    first = spark.createDataFrame(starts, "__task int, __first long")
+    return written.join(first, "__task").withColumn("row", F.col("__first") + F.col("__at")).drop("__task", "__at", "__first")

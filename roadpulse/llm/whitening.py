@@ -27,7 +27,7 @@ from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.session import fresh_dir
+from roadpulse.llm.tables import numbered
 
 SCALE, SHIFT = 64, 1_000_000
 #: Components beyond this are taken as not finite, so that sums of whole numbers stay in range.
@@ -41,21 +41,6 @@ def _usable(vector: Column) -> Column:
     return (F.size(vector) > 0) & F.forall(vector, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) <= LARGEST))
 
 
-def _numbered(rows: DataFrame) -> DataFrame:
-    """The rows in a written table, with `row`, a number from 0 without gaps."""
-    spark = rows.sparkSession
-    place = fresh_dir(spark, "whitening-rows")
-    # the number of the task and the place in it, which the table then holds fast
-    rows.withColumn("__task", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)).write.parquet(place)
-    written = spark.read.parquet(place)
-    before, starts = 0, []
-    for task, count in sorted(map(tuple, written.groupBy("__task").count().collect())):  # one row for each task
-        starts.append((task, before))
-        before += count
-    first = spark.createDataFrame(starts, "__task int, __first long")
-    return written.join(first, "__task").withColumn("row", F.col("__first") + F.col("__at")).drop("__task", "__at", "__first")
-
-
 def _indexed_rows(matrix: BlockMatrix) -> DataFrame:
     """A matrix as a table of `row` and `values`."""
     rows = callMLlibFunc("getIndexedRows", matrix.toIndexedRowMatrix()._java_matrix_wrapper._java_model)
@@ -89,7 +74,7 @@ def whiten(vectors: DataFrame, most: int = 32, id: str = "vec_id", vector: str =
     if lengths is None:
         return spark.createDataFrame([], RESULT)
     size, n = lengths["size"], lengths["count"]
-    table = _numbered(usable.filter(F.size("x") == size))
+    table = numbered(usable.filter(F.size("x") == size), "whitening-rows")
     totals = table.select(F.posexplode("x").alias("k", "v")).groupBy("k").agg(F.sum("v").alias("s")).collect()
     sums = [s for _, s in sorted(map(tuple, totals))]
     apart = F.zip_with("x", F.array(*map(F.lit, sums)), lambda v, s: v * F.lit(n) - s)  # n times the distance from the mean
