@@ -54,28 +54,41 @@ def latest_wins(entries: DataFrame, keys: Sequence[str], order: Sequence[str] =
     return entries.withColumn("__rank", F.row_number().over(versions)).filter("__rank = 1").drop("__rank")
 
 
+def newest_entries(entries: DataFrame, history_limit: int = HISTORY_LIMIT,
+                   forecast_limit: int = FORECAST_LIMIT) -> DataFrame:
+    """The newest history and forecast entries of each camera, each in its last version.
+
+    The cut to the newest times comes before the versions are told apart. Spark applies it in each task
+    ahead of the only shuffle, so a task sends no more than a camera's newest times.
+    """
+    own = F.when(F.col("kind") == "history", history_limit).otherwise(forecast_limit)
+    by_time = Window.partitionBy("kind", "cam_id").orderBy(F.desc("time_key"))
+    newest = (entries.filter("kind IN ('history', 'forecast')")
+              .withColumn("__rank", F.dense_rank().over(by_time))
+              .filter(f"__rank <= {max(int(history_limit), int(forecast_limit))}")
+              .filter(F.col("__rank") <= own)
+              .drop("__rank"))
+    return latest_wins(newest, ["kind", "cam_id", "time_key"])
+
+
+def last_messages(entries: DataFrame) -> DataFrame:
+    """"place" and "heard" of each camera, from all its messages, in whatever times they are about."""
+    located = F.col("kind").isin("history", "place") & F.col("location").isNotNull()
+    last = entries.groupBy("cam_id").agg(
+        F.max_by(F.struct(F.lit("place").alias("kind"), "seq", "updated_at", "location"), F.when(located, F.col("seq"))).alias("place"),
+        F.max_by(F.struct(F.lit("heard").alias("kind"), "seq", "updated_at", F.lit(None).cast("string").alias("location")), "seq").alias("heard"))
+    rows = last.select("cam_id", F.inline(F.array_compact(F.array("place", "heard"))))
+    return rows.select(*[F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                         for f in entries.schema])
+
+
 def merge_entries(entries: DataFrame, history_limit: int = HISTORY_LIMIT,
                   forecast_limit: int = FORECAST_LIMIT) -> DataFrame:
-    """Latest version per kind, camera and time, and of those the newest of each kind.
+    """The newest entries of each camera, and its last messages.
 
     Merging in parts or all at once, and merging again, gives the same entries.
     """
-    last = latest_wins(entries, ["kind", "cam_id", "time_key"])
-    # The last message of a camera is the last version of its own time, so it is still here.
-    is_message = F.col("kind").isin("history", "forecast")
-    place = F.when((F.col("kind") == "history") & F.col("location").isNotNull(), "place")
-    kinds = F.array_compact(F.array("kind", place, F.when(is_message, "heard")))
-    ranked = (last.withColumn("__kind", F.explode(kinds))
-              .withColumn("time_key", F.when(F.col("kind") == F.col("__kind"), F.col("time_key")))
-              .withColumn("kind", F.col("__kind"))
-              .drop("__kind"))
-    # One pass for all kinds: cut to the larger limit, which Spark applies before the shuffle, then to each kind's own.
-    by_time = Window.partitionBy("kind", "cam_id").orderBy(F.desc("time_key"), F.desc("seq"))
-    own = F.when(F.col("kind") == "history", history_limit).when(F.col("kind") == "forecast", forecast_limit)
-    return (ranked.withColumn("__rank", F.row_number().over(by_time))
-            .filter(f"__rank <= {max(int(history_limit), int(forecast_limit))}")
-            .filter(F.col("__rank") <= F.coalesce(own, F.lit(1)))
-            .drop("__rank"))
+    return newest_entries(entries, history_limit, forecast_limit).unionByName(last_messages(entries))
 
 
 def camera_states(entries: DataFrame) -> DataFrame:
@@ -104,11 +117,12 @@ def locate(messages: DataFrame, registry: DataFrame, reported: str = "location")
 
 def seed_registered(states: DataFrame, registry: DataFrame, keep: Sequence[Column] = ()) -> DataFrame:
     """Camera states with every registered camera, heard of or not."""
-    known = _registered(registry)
-    place = F.coalesce("location", "__registered", F.lit(UNKNOWN))
-    updated = F.coalesce(F.col("last_updated").cast("string"), F.lit(WAITING))
-    return (states.join(known, "cam_id", "full")
-            .select("cam_id", place.alias("location"), updated.alias("last_updated"), *keep))
+    return states.join(_registered(registry), "cam_id", "full").select("cam_id", *_heading(), *keep)
+
+
+def _heading() -> list[Column]:
+    return [F.coalesce("location", "__registered", F.lit(UNKNOWN)).alias("location"),
+            F.coalesce(F.col("last_updated").cast("string"), F.lit(WAITING)).alias("last_updated")]
 
 
 def last_history_end(history: DataFrame) -> DataFrame:
@@ -134,21 +148,41 @@ def camera_documents(entries: DataFrame, registry: DataFrame) -> DataFrame:
 
     `entries` are merged ones, so the lists are bounded by the limits of the merge.
     """
+    return seed_registered(entries.groupBy("cam_id").agg(*_document_parts()), registry, _lists())
+
+
+def camera_document(entries: DataFrame, registry: DataFrame, cam_id: str) -> DataFrame:
+    """The row of one camera, or none if it is neither registered nor heard of.
+
+    `entries` are merged ones, of this camera and maybe others. The registration is one more entry, so the
+    document needs no join.
+    """
+    own = entries.filter(F.col("cam_id") == cam_id)
+    known = _registered(registry.filter(F.col("camera_id") == cam_id)).select(
+        "cam_id", F.lit("registered").alias("kind"), F.col("__registered").alias("location"))
+    registered = F.max(F.when(F.col("kind") == "registered", F.col("location"))).alias("__registered")
+    found = own.unionByName(known, allowMissingColumns=True).groupBy("cam_id").agg(*_document_parts(), registered)
+    return found.select("cam_id", *_heading(), *_lists())
+
+
+def _document_parts() -> list[Column]:
     is_place = F.col("kind") == "place"
-    heard = entries.groupBy("cam_id").agg(
+    return [
         F.array_sort(F.collect_list(F.when(F.col("kind") == "history", F.struct(*_HISTORY_FIELDS)))).alias("history"),
         F.array_sort(F.collect_list(F.when(F.col("kind") == "forecast", F.struct(*_FORECAST_FIELDS)))).alias("forecast"),
         F.max(F.when(is_place, F.col("location"))).alias("location"),
         F.max("updated_at").alias("last_updated"),
-    )
+    ]
+
+
+def _lists() -> list[Column]:
+    """History and future forecasts of a document, empty where there are none."""
     last_end = F.try_element_at("history", F.lit(-1))["end_time"]
     ahead = F.filter("forecast", lambda f: last_end.isNull() | (f["prediction_timestamp"] > last_end))
     history_type = T.ArrayType(T.StructType([AGGREGATE[f] for f in _HISTORY_FIELDS]))
     forecast_type = T.ArrayType(T.StructType([FORECAST[f] for f in _FORECAST_FIELDS]))
-    return seed_registered(heard, registry, [
-        F.coalesce("history", F.array().cast(history_type)).alias("history"),
-        F.coalesce(ahead, F.array().cast(forecast_type)).alias("forecast"),
-    ])
+    return [F.coalesce("history", F.array().cast(history_type)).alias("history"),
+            F.coalesce(ahead, F.array().cast(forecast_type)).alias("forecast")]
 
 
 def chart_series(documents: DataFrame) -> DataFrame:

@@ -317,7 +317,7 @@ def latest_wins(spark, sf_dir):
 
 
 def newest_n(spark, sf_dir):
-    rows = serving.merge_entries(_entries(spark, sf_dir)).filter("kind IN ('history', 'forecast')")
+    rows = serving.newest_entries(_entries(spark, sf_dir))
     volume = F.coalesce("avg_traffic_volume", "predicted_volume").alias("volume")
     return clean(rows.select("kind", "cam_id", "time_key", volume))
 
@@ -327,7 +327,7 @@ def last_history_end(spark, sf_dir):
 
 
 def future_forecasts(spark, sf_dir):
-    rows = serving.future_forecasts(serving.merge_entries(_entries(spark, sf_dir)))
+    rows = serving.future_forecasts(serving.newest_entries(_entries(spark, sf_dir)))
     return clean(rows.select("cam_id", "prediction_timestamp", "base_time_t", "current_volume",
                              "predicted_volume", "is_padded"))
 

@@ -19,7 +19,7 @@ from roadpulse.sources.files import stream_parquet
 from roadpulse.sources.registry import camera_list, registry
 from roadpulse.sources.topics import DirectoryTopics
 from roadpulse.streaming import jobs
-from roadpulse.streaming.upsert import ServingTable
+from roadpulse.streaming.upsert import ServingTable, bucket_of
 from tests.detectors import VectorDetector
 from tests.test_features import training_table
 
@@ -245,24 +245,94 @@ def test_serving_table_over_batches_replays_and_generations(spark):
     for i, (minute, value) in enumerate(((0, 1.0), (1, 2.0), (0, 9.0), (2, 3.0), (3, 4.0))):
         pipe.publish(HISTORY, [history_message(minute, value)], offset=F.lit(i))
     pipe.publish(FORECASTS, [forecast_message(9, 5.0)])
-    table = ServingTable(spark, f"{pipe.root}/serving", HISTORY, FORECASTS, keep_snapshots=2)
+    table = ServingTable(spark, f"{pipe.root}/serving", HISTORY, FORECASTS, buckets=4)
     stream = pipe.topics.stream([HISTORY, FORECASTS], per_trigger=1)
     jobs.start(table.writer(stream), stream, f"{pipe.root}/checkpoint", "available now").awaitTermination()
     want = {"a": ("x", [(at(0), 9.0), (at(1), 2.0), (at(2), 3.0), (at(3), 4.0)], [(at(9), 5.0)]), "z": ("Yard", [], [])}
     assert documents(table, spark) == want
-    snapshots = table._snapshots()
-    assert len(snapshots) <= 3
 
-    # The last batch once more changes nothing.
-    last = int(snapshots[-1].split("-")[1])
-    table.upsert(pipe.topics.read(HISTORY).filter("offset = 4"), last)
-    assert documents(table, spark) == want and table._snapshots() == snapshots
+    # The last batch once more changes nothing, be it done or broken off before its text was written.
+    last = table._done()[-1]
+    entries = table.entries().collect()
+    messages = pipe.topics.read(HISTORY).filter("offset = 4")
+    table.upsert(messages, int(last.split("-")[1]))
+    assert table.entries().collect() == entries
+    table.batches.delete(last)
+    table.upsert(messages, int(last.split("-")[1]))
+    assert documents(table, spark) == want and table._done()[-1] == last
 
     # A fresh checkpoint reads all again, on top of the old state.
     again = ServingTable(spark, f"{pipe.root}/serving", HISTORY, FORECASTS, generation=1)
     stream = pipe.topics.stream([HISTORY, FORECASTS])
     jobs.start(again.writer(stream), stream, f"{pipe.root}/checkpoint-new", "available now").awaitTermination()
-    assert documents(again, spark) == want
+    assert documents(again, spark) == want and again._newest()["buckets"] == 4
+
+
+def _cameras_in_other_buckets(buckets, n):
+    found = {}
+    for k in range(1000):
+        found.setdefault(bucket_of(f"c{k}", buckets), f"c{k}")
+    return list(found.values())[:n]
+
+
+def history_rows(spark, *cams, minute=0, value=1.0):
+    rows = [(HISTORY, history_message(minute, value, cam), minute) for cam in cams]
+    return spark.createDataFrame(rows, "topic string, value string, offset long").withColumn("timestamp", F.lit(DAY))
+
+
+def test_an_upsert_writes_the_buckets_of_its_cameras(spark):
+    table = ServingTable(spark, fresh_dir(spark, "serving"), HISTORY, FORECASTS, buckets=16)
+    cams = _cameras_in_other_buckets(16, 5)
+    table.upsert(history_rows(spark, *cams), 0)
+    table.upsert(history_rows(spark, *cams[:2], minute=1, value=2.0), 1)
+    second = table._done()[1]
+    written = [n for n in table.data.child(second).names() if n.startswith("bucket=")]
+    assert written == sorted(f"bucket={bucket_of(c, 16)}" for c in cams[:2])
+    assert sorted(table._newest()["files"].values()) == [table._done()[0]] * 3 + [second] * 2
+    got = documents(table, spark)
+    assert got[cams[0]][1] == [(at(0), 1.0), (at(1), 2.0)] and got[cams[4]][1] == [(at(0), 1.0)]
+    # a batch without messages of a camera is a batch too
+    table.upsert(history_rows(spark, ""), 2)
+    assert documents(table, spark) == got and len(table._done()) == 3
+
+
+def test_files_go_by_age_and_a_reader_outlives_ten_batches(spark):
+    path = fresh_dir(spark, "serving")
+    table = ServingTable(spark, path, HISTORY, FORECASTS, buckets=2)
+    cams = _cameras_in_other_buckets(2, 2)
+    table.upsert(history_rows(spark, *cams), 0)
+    reader = table.entries()
+    for batch in range(1, 11):
+        table.upsert(history_rows(spark, cams[0], minute=batch), batch)
+    assert len(table._done()) == 11 and reader.filter("kind = 'history'").count() == 2
+
+    # Once the texts are old, only what the newest names stays: the untouched bucket from the first batch.
+    ServingTable(spark, path, HISTORY, FORECASTS, keep_seconds=-60).upsert(history_rows(spark, cams[0], minute=20), 11)
+    assert len(table._done()) == 1
+    kept = {n: [b for b in table.data.child(n).names() if b.startswith("bucket=")] for n in table.data.names()}
+    assert {b for bs in kept.values() for b in bs} == {"bucket=0", "bucket=1"} and len(kept) == 2
+    got = documents(table, spark)
+    assert [m for m, _ in got[cams[0]][1]] == [at(m) for m in (*range(11), 20)] and got[cams[1]][1] == [(at(0), 1.0)]
+
+
+def test_the_document_of_one_camera_reads_one_bucket(spark):
+    table = ServingTable(spark, fresh_dir(spark, "serving"), HISTORY, FORECASTS, buckets=8)
+    table.upsert(history_rows(spark, "a", "b", "c"), 0)
+    cameras = registry(spark, CAMERAS)
+    every = {r.cam_id: r for r in table.documents(cameras).collect()}
+    for cam in ("a", "b", "z"):
+        assert [r for r in table.document(cam, cameras).collect()] == [every[cam]]
+    assert table.document("nobody", cameras).count() == 0
+    one = table.document("a", cameras)
+    plan = one._jdf.queryExecution().toString()
+    assert "Join" not in plan
+    assert {f.split("/bucket=")[1].split("/")[0] for f in one.inputFiles()} == {str(bucket_of("a", 8))}
+
+
+def test_newest_times_are_cut_before_the_shuffle(spark):
+    entries = serving.serving_entries(history_rows(spark, "a"), HISTORY, FORECASTS)
+    plan = serving.newest_entries(entries, 3, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "dense_rank" in plan and plan.count("Exchange hashpartitioning") == 1
 
 
 def test_chart_points(spark):
