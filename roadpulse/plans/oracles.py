@@ -297,6 +297,8 @@ SELECT cam_id, 'history' AS kind, count(*) AS n, max(start_time) AS last_time FR
 UNION ALL
 SELECT cam_id, 'forecast', count(*), max(prediction_timestamp) FROM forecast_entries GROUP BY cam_id""",
     "serving_upsert_stream": VIEW,
+    "serving_state_stream": VIEW,
+    "camera_document": f"SELECT * FROM ({VIEW}) WHERE cam_id IN ('cam_003', 'cam_012', 'cam_999')",
     "gbt_train_eval": f"""WITH {training()}, picked AS (
   SELECT *, CASE WHEN dayofweek >= 5 THEN 30.0 ELSE 60.0 END AS volume
   FROM (SELECT * FROM rows_ ORDER BY target >= 150, md5('42|' || dyna_id), dyna_id LIMIT 2000)),

@@ -55,13 +55,13 @@ def console(df: DataFrame) -> DataStreamWriter:
 
 
 def start(writer: DataStreamWriter, df: DataFrame, checkpoint: str | None, trigger: str | None = None,
-          state_partitions: int | None = None, rocksdb: bool = False) -> StreamingQuery:
-    """Start a query in append mode.
+          state_partitions: int | None = None, rocksdb: bool = False, mode: str = "append") -> StreamingQuery:
+    """Start a query, in append mode or another.
 
     `trigger` is an interval such as "10 seconds", "available now", or None for back to back batches.
     `state_partitions` holds for the life of the checkpoint. `rocksdb` keeps state off the heap.
     """
-    writer = writer.outputMode("append")
+    writer = writer.outputMode(mode)
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)
     if trigger == "available now":
