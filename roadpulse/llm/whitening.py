@@ -19,6 +19,7 @@ is null where it does not fit a long. Only the id and the vector are read of the
 import math
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import DenseMatrix
@@ -33,7 +34,7 @@ SCALE, SHIFT = 64, 1_000_000
 #: Components beyond this are taken as not finite, so that sums of whole numbers stay in range.
 LARGEST = 2.0**31
 #: Rows and columns of a block, and bytes of the row blocks that one task multiplies.
-BLOCK, TASK_BYTES = 1024, 16 << 20
+BLOCK, TASK_BYTES = 1024, 4 << 20
 RESULT = "id long, component int, n long, deviation long, whitened double, explained double, identity_error double"
 
 
@@ -83,7 +84,8 @@ def whiten(vectors: DataFrame, most: int = 32, id: str = "vec_id", vector: str =
     centred = table.select("row", array_to_vector(F.transform(apart, lambda d: d.cast("double") / n)).alias("vector"))
     centred = centred.repartition(splits, F.floor(F.col("row") / BLOCK))
     centred = MLUtils.convertVectorColumnsFromML(centred, "vector")
-    blocks = IndexedRowMatrix(centred, n, size).toBlockMatrix(BLOCK, BLOCK)
+    # three products read the blocks; one that is lost is laid out again from the written rows
+    blocks = IndexedRowMatrix(centred, n, size).toBlockMatrix(BLOCK, BLOCK).persist(StorageLevel.MEMORY_AND_DISK)
     covariance = _gram(blocks, splits) / n
     values, directions = _components(covariance, most)
     if not len(values):
@@ -93,7 +95,7 @@ def whiten(vectors: DataFrame, most: int = 32, id: str = "vec_id", vector: str =
     # the whitening matrix has no more blocks than the square of the dimension over that of a block
     parts = [((i, 0), scaled[i * BLOCK : (i + 1) * BLOCK]) for i in range(math.ceil(size / BLOCK))]
     matrix = spark.sparkContext.parallelize([(at, DenseMatrix(*part.shape, part.ravel("F"))) for at, part in parts], 1)
-    projected = blocks.multiply(BlockMatrix(matrix, BLOCK, BLOCK, size, len(values)))
+    projected = blocks.multiply(BlockMatrix(matrix, BLOCK, BLOCK, size, len(values))).persist(StorageLevel.MEMORY_AND_DISK)
     error = float(np.abs(_gram(projected, splits) / n - np.eye(len(values))).max())
 
     square = F.aggregate(apart, F.lit(0).cast("long"), lambda total, d: F.try_add(total, F.try_multiply(d, d)))
