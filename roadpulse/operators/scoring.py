@@ -1,12 +1,15 @@
 """Batch scoring of frame payloads with a pluggable detector."""
 
 import functools
+from collections import Counter
+from collections.abc import Iterator, Mapping
 from typing import Any, Protocol
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from roadpulse.operators.detections import DEFAULT_CONFIDENCE, VEHICLE_CLASSES, count_in_array
+from roadpulse.operators.detections import COUNTER_CONFIDENCE, DEFAULT_CONFIDENCE, VEHICLE_CLASSES, count_in_array
 from roadpulse.functions.collections import map_total
 from roadpulse.schemas import DETECTIONS
 from roadpulse.session import ship_package
@@ -68,6 +71,39 @@ def score_frames(frames: DataFrame, detector: Detector, workers: int | None = No
     return frames.select(*kept, "value").mapInArrow(run, schema)
 
 
+def vehicle_counter(detector: Detector, min_conf: float = COUNTER_CONFIDENCE, sub_batch: int = 20,
+                    classes: Mapping = VEHICLE_CLASSES):
+    """A column function from payloads to maps of counts per label; an empty map for a payload that cannot be decoded.
+
+    Works on Arrow batches, with the model loaded once per worker.
+    """
+    @F.pandas_udf(T.MapType(T.StringType(), T.IntegerType()))
+    def counts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = _loaded(detector)
+        for payloads in batches:
+            out = [{} for _ in range(len(payloads))]
+            for start in range(0, len(payloads), sub_batch):
+                images = [(row, None if payload is None else detector.decode(bytes(payload)))
+                          for row, payload in enumerate(payloads.iloc[start:start + sub_batch], start)]
+                images = [(row, image) for row, image in images if image is not None]
+                if images:
+                    for (row, _), boxes in zip(images, detector.detect(model, [image for _, image in images])):
+                        out[row] = dict(Counter(classes[c] for c, p in boxes if c in classes and p >= min_conf))
+            yield pd.Series(out)
+
+    return counts
+
+
+def decodable(detector: Detector):
+    """A column function that tells whether payloads can be decoded."""
+    @F.pandas_udf(T.BooleanType())
+    def told(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for payloads in batches:
+            yield pd.Series([payload is not None and detector.decode(bytes(payload)) is not None for payload in payloads], dtype=bool)
+
+    return told
+
+
 def spread(frames: DataFrame, workers: int, by: tuple[str, ...] = ("cam_id", "timestamp")) -> DataFrame:
     return frames.repartition(workers, *by, F.xxhash64("value"))
 

@@ -43,7 +43,7 @@ def header_flatten(spark, sf_dir):
                        F.length("value").alias("n_bytes"))
 
 
-def _partly_broken(spark, sf_dir):
+def partly_broken(spark, sf_dir):
     """Observation messages that are broken in a way that depends on the event's type."""
     rows = tables.observe_events(tables.events(spark, sf_dir), tables.registry(spark, sf_dir), keep=["event_type"])
     whole = ingest.encode_observations(rows, keep=["event_id", "event_type"])
@@ -57,13 +57,13 @@ def _partly_broken(spark, sf_dir):
 
 def bad_record_split(spark, sf_dir):
     """All messages, those that cannot be used with their reason."""
-    checked = ingest.check_observations(_partly_broken(spark, sf_dir), keep=["event_id"])
+    checked = ingest.check_observations(partly_broken(spark, sf_dir), keep=["event_id"])
     return clean(checked.select("event_id", "cam_id", "timestamp", "traffic_volume",
                                 F.coalesce("bad_reason", F.lit("")).alias("bad_reason")))
 
 
 def bad_record_counts(spark, sf_dir):
-    _, bad = ingest.split_bad_records(_partly_broken(spark, sf_dir), keep=["event_id"])
+    _, bad = ingest.split_bad_records(partly_broken(spark, sf_dir), keep=["event_id"])
     return bad.groupBy("bad_reason").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -8,6 +8,10 @@ OBS = f"""obs AS (
   FROM events LEFT JOIN nation ON n_nationkey = user_id % 8)"""
 
 
+# Parts of eight days.
+PART = "least(3, (day(ts) - 1) // 8)"
+
+
 def averages(width: str) -> str:
     return f"""avgs AS (
   SELECT time_bucket(INTERVAL '{width}', "timestamp") AS start_time,
@@ -296,6 +300,33 @@ SELECT DISTINCT cam_id, time_bucket(INTERVAL 10 MINUTE, "timestamp") AS slot FRO
 SELECT cam_id, 'history' AS kind, count(*) AS n, max(start_time) AS last_time FROM history_entries GROUP BY cam_id
 UNION ALL
 SELECT cam_id, 'forecast', count(*), max(prediction_timestamp) FROM forecast_entries GROUP BY cam_id""",
+    "bad_record_stream": """SELECT event_id, CASE event_type WHEN 'signup' THEN 'malformed' WHEN 'view' THEN 'bad_time'
+       WHEN 'click' THEN 'no_camera' ELSE '' END AS bad_reason FROM events""",
+    "counter_stream": f"""WITH {scored(0.4)} SELECT vec_id AS "offset", coalesce(detail, '') AS counts,
+       coalesce(traffic_volume, 0) AS total FROM embeddings LEFT JOIN detail USING (vec_id)""",
+    "batch_score_workers": f"WITH {scored(0.25)} {SCORED_COLUMNS} WHERE label <> 3",
+    "latest_start_stream": f"SELECT event_id, {CAM} AS cam_id FROM events WHERE {PART} >= 2",
+    "lost_files_stream": f"SELECT event_id FROM events WHERE {PART} <> 1",
+    "late_rows_stream": f"""WITH {OBS}, {averages('1 hour')}, batches AS (
+  SELECT cast(unnest(range(5)) AS bigint) AS batch),
+marks AS (
+  SELECT batch, (SELECT max(ts) FROM events WHERE {PART} < batch) - INTERVAL 10 SECOND AS mark,
+         (SELECT max(ts) FROM events WHERE {PART} < batch - 1) - INTERVAL 10 SECOND AS before FROM batches),
+cameras AS (SELECT count(DISTINCT user_id % 8) AS n FROM events)
+SELECT batch, (SELECT count(*) FROM events WHERE {PART} = batch) + CASE WHEN batch IN (2, 3) THEN n ELSE 0 END AS arrived,
+       CASE WHEN batch IN (2, 3) THEN n ELSE 0 END AS late,
+       (SELECT count(*) FROM avgs WHERE end_time <= mark AND (before IS NULL OR end_time > before)) AS written
+FROM marks, cameras""",
+    "restart_from_scratch_stream": f"""WITH {OBS}, {averages('1 hour')}
+SELECT cast(generation AS integer) AS generation, cam_id, start_time AS window_start
+FROM avgs, (SELECT unnest(range(2)) AS generation)
+WHERE end_time > (SELECT max(ts) FROM events) - INTERVAL 10 SECOND""",
+    "image_backfill": """WITH asked AS (
+  SELECT vec_id, CASE label WHEN 3 THEN 'undecodable' ELSE 'sent' END AS outcome FROM embeddings
+  UNION ALL
+  SELECT vec_id, 'missing' FROM embeddings WHERE label = 5)
+SELECT vec_id, 'cam_' || lpad(cast(vec_id % 8 AS varchar), 3, '0') AS cam_id,
+       'at cam_' || lpad(cast(vec_id % 8 AS varchar), 3, '0') AS location, outcome FROM asked""",
     "serving_upsert_stream": VIEW,
     "serving_state_stream": VIEW,
     "camera_document": f"SELECT * FROM ({VIEW}) WHERE cam_id IN ('cam_003', 'cam_012', 'cam_999')",

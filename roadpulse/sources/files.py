@@ -1,11 +1,12 @@
 """CSV tables, image files and reports."""
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from roadpulse.functions.envelope import parse_time
 from roadpulse.functions.headers import make_headers
+from roadpulse.operators.ingest import frame_messages
 from roadpulse.schemas import SENSOR_HISTORY_CSV
 
 
@@ -44,6 +45,25 @@ def read_image_frames(spark: SparkSession, paths: Iterable[str], cam_id: str, lo
                         headers.alias("headers"), "path")
 
 
+def backfill_frames(asked: DataFrame, folders: str | Iterable[str], decodes: Callable[[Column], Column],
+                    taken_at: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Frame messages for a table of image files, and the files that give none, with the reason.
+
+    `asked` has `path`, `cam_id` and `location`, for as many cameras as there are; `folders` hold the files, and are
+    listed once, by Spark. `decodes` tells of payloads whether they are images. A file that is asked for twice
+    is sent twice. Reasons: "missing" and "undecodable".
+    """
+    spark = asked.sparkSession
+    folders = [folders] if isinstance(folders, str) else list(folders)
+    files = spark.read.format("binaryFile").options(recursiveFileLookup=True, ignoreMissingFiles=True).load(folders)
+    # The contents are on the side that is not moved as long as the list is small enough to be sent to it.
+    found = files.select("path", "content").join(asked, "path").withColumn("__decodes", decodes(F.col("content")))
+    missing = asked.join(files.select("path"), "path", "left_anti").withColumn("reason", F.lit("missing"))
+    undecodable = found.filter("NOT __decodes").select(*asked.columns, F.lit("undecodable").alias("reason"))
+    frames = found.filter("__decodes").withColumn("timestamp", F.current_timestamp() if taken_at is None else taken_at)
+    return frame_messages(frames, "content", keep=["path"]), undecodable.unionByName(missing)
+
+
 def stream_parquet(spark: SparkSession, path: str, schema: str | T.StructType, per_trigger: int | None = None) -> DataFrame:
     """A stream of the rows of a Parquet table, be it a directory or a single file; `per_trigger` counts files."""
     reader = spark.readStream.schema(schema)

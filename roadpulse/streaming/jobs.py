@@ -12,10 +12,11 @@ from roadpulse.functions.envelope import decode, encode
 from roadpulse.operators.features import FeatureSpec, serving_features
 from roadpulse.operators.forecast import forecasts
 from roadpulse.operators.ingest import decode_observations, encode_observations, flatten_frames
-from roadpulse.operators.scoring import Detector, observe, score_frames
+from roadpulse.operators.detections import COUNTER_CONFIDENCE
+from roadpulse.operators.scoring import Detector, observe, score_frames, vehicle_counter
 from roadpulse.operators.windows import average_volume, volume_history
 from roadpulse.schemas import AGGREGATE, FORECAST
-from roadpulse.session import session_settings
+from roadpulse.session import fresh_dir, session_settings, ship_package
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -26,6 +27,12 @@ def monitor(frames: DataFrame, detector: Detector, workers: int | None = None, *
     return encode_observations(observed)
 
 
+def count(frames: DataFrame, detector: Detector, min_conf: float = COUNTER_CONFIDENCE, keep=()) -> DataFrame:
+    """The plain counter: a map of counts for each frame message, with or without headers; empty for a bad payload."""
+    ship_package(frames.sparkSession)
+    return frames.select(*keep, vehicle_counter(detector, min_conf)("value").alias("counts"))
+
+
 def aggregate(messages: DataFrame, window: str = "1 minute", delay: str | None = "10 seconds") -> DataFrame:
     """Observation messages to messages of window averages."""
     averages = average_volume(decode_observations(messages, detail=False), window, delay)
@@ -59,11 +66,10 @@ def start(writer: DataStreamWriter, df: DataFrame, checkpoint: str | None, trigg
     """Start a query, in append mode or another.
 
     `trigger` is an interval such as "10 seconds", "available now", or None for back to back batches.
-    `state_partitions` holds for the life of the checkpoint. `rocksdb` keeps state off the heap.
+    `state_partitions` holds for the life of the checkpoint. `rocksdb` keeps state off the heap. Without a
+    checkpoint the query keeps its place for this run only, in the shared folder, and starts anew the next time.
     """
-    writer = writer.outputMode(mode)
-    if checkpoint:
-        writer = writer.option("checkpointLocation", checkpoint)
+    writer = writer.outputMode(mode).option("checkpointLocation", checkpoint or fresh_dir(df.sparkSession, "unkept"))
     if trigger == "available now":
         writer = writer.trigger(availableNow=True)
     elif trigger:

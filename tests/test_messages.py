@@ -98,6 +98,7 @@ def test_topic_round_trip(spark):
 
 def test_kafka_options(spark):
     kafka = KafkaTopics(spark, "broker:9092", **{"compression.type": "lz4"})
+    assert kafka.source_options("a", group="g")["groupIdPrefix"] == "g"
     options = kafka.source_options(["a", "b"], starting="earliest", per_trigger=50, headers=True, tolerate_loss=True)
     assert options == {
         "kafka.bootstrap.servers": "broker:9092", "kafka.compression.type": "lz4", "subscribe": "a,b",
