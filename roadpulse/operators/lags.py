@@ -16,7 +16,8 @@ def lag_lead(df: DataFrame, series: str, order: Sequence[str], value: str, lags:
     The first column of `order` is the time; `order` must be total within a series. Each series is cut
     into spans of time of about `span_rows` rows, which are sorted apart, so that one series may hold
     most of the rows. The first and last rows of a span look across its ends: for them, a handful in
-    `span_rows`, lag and lead run once more along the whole series. None cuts no series.
+    `span_rows`, lag and lead run once more along the whole series. None cuts no series, and none is cut if
+    a count, which runs at once, finds that none is longer than a span: one pass over the rows then does.
 
     `max_gap_seconds` empties a lag or lead of k rows that lies more than k such gaps away.
     """
@@ -31,7 +32,7 @@ def lag_lead(df: DataFrame, series: str, order: Sequence[str], value: str, lags:
         return F.when(away <= abs(k) * max_gap_seconds * 1_000_000, shifted["v"])
 
     across = Window.partitionBy(series).orderBy(*order)
-    if span_rows is None:
+    if span_rows is None or not _any_longer(df, series, span_rows):
         return df.select("*", *[step(k, across).alias(name) for name, k in steps.items()])
 
     reach = max(lags, leads)
@@ -54,6 +55,10 @@ def lag_lead(df: DataFrame, series: str, order: Sequence[str], value: str, lags:
     return placed.filter("__settled").select(*df.columns, *steps).unionByName(edges)
 
 
+def _any_longer(df: DataFrame, series: str, rows: int) -> bool:
+    return not df.groupBy(series).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows).isEmpty()
+
+
 def _with_spans(df: DataFrame, series: str, time: str, span_rows: int) -> DataFrame:
     """`__span` is in the order of time and holds about `span_rows` rows of a series.
 

@@ -17,7 +17,8 @@ def _first(df: DataFrame, n: int, rank: Column, key: Sequence[str]) -> DataFrame
     """The n rows of the least ranks.
 
     Counts of rank prefixes give the prefix that the n-th row has, and rows beyond it are left out where
-    they are read. So about n rows meet in the last sort, and not n rows of each task.
+    they are read. So about n rows meet in the last sort, and not n rows of each task. `df` is read twice:
+    give a written table, not a plan that is dear to run.
     """
     prefix = F.substring(rank, 1, PREFIX)
     counts = df.groupBy(prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("rows"))

@@ -220,7 +220,8 @@ def target_bands(spark, sf_dir):
 
 
 def _training_sample(spark, sf_dir, threshold):
-    rows = _training_rows(spark, sf_dir)
+    # the sampler reads its rows for their counts and again for themselves; the lags are made once
+    rows = files.written(_training_rows(spark, sf_dir), "training-rows")
     return sampling.sample_preferring(rows, 2000, F.col("target") < threshold, ["dyna_id"])
 
 

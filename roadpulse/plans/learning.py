@@ -1,7 +1,5 @@
 """Queries that train and apply the forecast model."""
 
-import functools
-
 from pyspark.sql import functions as F
 
 from roadpulse.functions.envelope import decode
@@ -12,6 +10,7 @@ from roadpulse.plans.results import clean
 from roadpulse.operators.windows import volume_history
 from roadpulse.schemas import FORECAST
 from roadpulse.session import fresh_dir
+from roadpulse.sources import files
 from roadpulse.streaming import jobs
 
 
@@ -21,36 +20,46 @@ WEEKEND, WEEKDAY = 30.0, 60.0
 SPEC = features.FeatureSpec(lag_step="1 hour")
 
 
-def _training_table(spark, sf_dir):
-    """The training sample with the volumes to learn as a table, so that the many passes of the training do not rebuild it."""
+def _training_table(spark, sf_dir, target=F.col("target")):
+    """The training sample, with the volume to learn, as a table that the many passes of the training read."""
     rows = features.training_features(tables.sensor_history(spark, sf_dir), SPEC, tie="dyna_id", keep=["dyna_id", "time"])
+    rows = files.written(rows, "training-rows")
     sample = sampling.sample_preferring(rows, 2000, F.col("target") < 150, ["dyna_id"])
-    path = fresh_dir(spark, "training")
-    volume = F.when(F.col("dayofweek") >= 5, WEEKEND).otherwise(WEEKDAY)
-    sample.withColumn("target", volume).write.parquet(path)
-    return spark.read.parquet(path)
+    return files.written(sample.withColumn("target", target), "training")
 
 
-def _train_and_save(spark, sf_dir):
+def _train_and_save(spark, table):
     # Rows overlap with their neighbours in time, so a random split would test on what was trained on.
-    train, test = sampling.split_by_time(_training_table(spark, sf_dir), 0.8, "time")
+    train, test = sampling.split_by_time(table, 0.8, "time")
     path = fresh_dir(spark, "model")
     model.save_model(model.train(train), path, SPEC)
     return path, test
 
 
-@functools.cache
+_paths: dict[tuple[str, str], str] = {}
+
+
 def _saved_model(spark, sf_dir):
-    """Path of the model for the forecasting queries, trained once per session, as for a deployed job."""
-    return _train_and_save(spark, sf_dir)[0]
+    """Path of the model for the forecasting queries, trained once per application, as for a deployed job."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _paths:
+        volume = F.when(F.col("dayofweek") >= 5, WEEKEND).otherwise(WEEKDAY)
+        _paths[key] = _train_and_save(spark, _training_table(spark, sf_dir, volume))[0]
+    return _paths[key]
 
 
 def gbt_train_eval(spark, sf_dir):
-    """Error of the trained model and of the last-value forecast on the held-out rows."""
-    path, test = _train_and_save(spark, sf_dir)
-    learned = model.regression_metrics(model.load_model(path).transform(test)).withColumn("model", F.lit("gbt"))
-    naive = model.regression_metrics(test.withColumn("prediction", F.col("t"))).withColumn("model", F.lit("last value"))
-    return learned.unionByName(naive).select("model", "n", F.round("rmse", 4).alias("rmse"), F.round("r2", 4).alias("r2"))
+    """A model of the measured flow on held-out rows, beside the forecast that the next value is the last one."""
+    path, test = _train_and_save(spark, _training_table(spark, sf_dir))
+    fitted = model.load_model(path)
+    learned = model.regression_metrics(fitted.transform(test)).select(F.col("n").alias("scored"), F.col("rmse").alias("gbt_rmse"))
+    trees = fitted.stages[-1].trees
+    naive = model.regression_metrics(test.withColumn("prediction", F.col("t")))
+    # both sides are a single row
+    return naive.join(learned, F.col("n") == F.col("scored")).select(
+        "n", F.round("rmse", 4).alias("last_value_rmse"), F.round("r2", 4).alias("last_value_r2"),
+        (F.col("gbt_rmse") < F.col("rmse")).alias("beats_last_value"), F.lit(len(trees)).alias("trees"),
+        F.lit(all(tree.numNodes > 1 for tree in trees)).alias("every_tree_splits"))
 
 
 def gbt_forecast(spark, sf_dir):

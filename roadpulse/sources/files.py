@@ -8,6 +8,7 @@ from roadpulse.functions.envelope import parse_time
 from roadpulse.functions.headers import make_headers
 from roadpulse.operators.ingest import frame_messages
 from roadpulse.schemas import SENSOR_HISTORY_CSV
+from roadpulse.session import fresh_dir
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -76,6 +77,13 @@ def stream_parquet(spark: SparkSession, path: str, schema: str | T.StructType, p
     return reader.option("pathGlobFilter", name).parquet(folder)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder, for what reads them more than once."""
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_report(metrics: DataFrame, path: str) -> None:
     """A one-row metrics table as JSON."""
     metrics.write.mode("overwrite").json(path)
