@@ -7,12 +7,13 @@ unknown piece if the model has no bytes. The scores are taken as the file has th
 whose own segmentation is by merges: the pieces are the same, the cuts are those of the best sum.
 
 No piece has a blank after another character, so a text is cut before each blank and the parts of up
-to 64 characters are kept with their ids in a bounded table for each task.
+to 64 characters are kept with their ids in two bounded tables for each task: one fills while the other goes out of use.
 
 Nulls give null ids, "" gives none. Rows are encoded one by one, so repeated rows change nothing; the
 output columns replace columns of the same name, other columns stay.
 """
 
+import math
 import re
 import struct
 from array import array
@@ -102,7 +103,11 @@ class Pieces:
                         for piece, kind in zip(self.pieces, kinds)]
         for byte, k in self.bytes.items():
             self.surface[k] = bytes([byte])
+        self.single = {self.pieces[k] for k in normal if len(self.pieces[k]) == 1}
+        self.lengths = [len(piece) for piece in self.pieces]
+        #: Parts met of late, and those met before them.
         self.kept: dict[str, array] = {}
+        self.older: dict[str, array] = {}
 
     def normal(self, text: str) -> str:
         if self.squeeze:
@@ -111,6 +116,26 @@ class Pieces:
 
     def best(self, part: str) -> array:
         """The ids of the best segmentation of a part."""
+        return self._of_pieces(part) if self.single.issuperset(part) else self._with_unknown(part)
+
+    def _of_pieces(self, part: str) -> array:
+        """The same for a part whose characters all are pieces, so that each position is reached by pieces."""
+        n = len(part)
+        best, piece = [-math.inf] * (n + 1), [0] * (n + 1)
+        best[0] = 0.0
+        for last, (length, score, k) in self.automaton.iter(part):
+            last += 1
+            score += best[last - length]
+            if score > best[last]:
+                best[last], piece[last] = score, k
+        ids, end, lengths = [], n, self.lengths
+        while end:
+            ids.append(piece[end])
+            end -= lengths[piece[end]]
+        ids.reverse()
+        return array("i", ids)
+
+    def _with_unknown(self, part: str) -> array:
         n, unknown = len(part), self.unknown_score
         best, start, piece = [None] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
         alone = bytearray(n)  # characters that are a piece
@@ -146,14 +171,16 @@ class Pieces:
         return array("i", ids[::-1])
 
     def encode(self, text: str) -> array:
-        out, kept = array("i"), self.kept
+        out, kept, older = array("i"), self.kept, self.older
         for part in self.part.findall(self.normal(text)):
             ids = kept.get(part)
             if ids is None:
-                ids = self.best(part)
+                ids = older.get(part)
+                if ids is None:
+                    ids = self.best(part)
                 if len(part) <= 64:
-                    if len(kept) >= MOST_KEPT:
-                        kept.clear()
+                    if len(kept) >= MOST_KEPT:  # what is not asked for while a new table fills goes
+                        self.kept, self.older = kept, older = {}, kept
                     kept[part] = ids
             if not self.bytes and out and ids and out[-1] == ids[0] == self.unknown:
                 ids = ids[1:]  # unknown characters in a row are one piece
@@ -184,28 +211,43 @@ def read_model(spark, path: str = MODEL) -> bytes:
     return bytes(row.content)
 
 
-def encode(df: DataFrame, model: bytes, text: str = "text", ids: str = "ids") -> DataFrame:
-    """All rows and columns with the ids of the pieces of the text."""
+def _coded(df: DataFrame, model: bytes, text: str, ids: str, same: str | None) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(model)
     ship_package(df.sparkSession)
-    passed = [c for c in df.columns if c.lower() != ids]
+    passed = [c for c in df.columns if c.lower() not in (ids, same)]
     schema = df.select(*[df[c] for c in passed]).schema.add(ids, T.ArrayType(T.IntegerType()))
+    if same:
+        schema = schema.add(same, "boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(shared.value)
         for batch in slices(batches, text):
-            flat, ends = array("i"), [0]
+            flat, ends, back = array("i"), [0], []
             column = batch.column(text)
             for value in column.to_pylist():
-                flat.extend(pieces.encode(value) if value else ())
+                own = pieces.encode(value) if value else array("i")
+                flat.extend(own)
                 ends.append(len(flat))
+                if same:
+                    back.append(pieces.decode(own) == (value or ""))
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32) if flat else [], pa.int32()),
                                              mask=column.is_null() if column.null_count else None)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in passed], lists], names=[*passed, ids])
+            told = [pa.array(back, pa.bool_())] if same else []
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in passed], lists, *told], names=schema.names)
 
     return df.mapInArrow(run, schema)
 
 
+def encode(df: DataFrame, model: bytes, text: str = "text", ids: str = "ids") -> DataFrame:
+    """All rows and columns with the ids of the pieces of the text."""
+    return _coded(df, model, text, ids, None)
+
+
+def encode_and_check(df: DataFrame, model: bytes, text: str = "text", ids: str = "ids", same: str = "round_trip") -> DataFrame:
+    """The same, and whether decoding gives the text back; a null text is an empty one there. One step does both."""
+    return _coded(df, model, text, ids, same)
+
+
 def decode(df: DataFrame, model: bytes, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """All rows and columns with the text that the ids stand for."""
     shared = df.sparkSession.sparkContext.broadcast(model)
@@ -224,8 +266,6 @@ def decode(df: DataFrame, model: bytes, ids: str = "ids", text: str = "decoded")
 
 def op1_sentencepiece(spark, sf_dir: str) -> DataFrame:
     """Ids of each text, and whether decoding gives the text back."""
-    model = read_model(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    both = decode(encode(docs, model), model)
-    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
-                       (F.coalesce("decoded", F.lit("")) == F.coalesce("text", F.lit(""))).alias("round_trip"))
+    coded = encode_and_check(docs, read_model(spark))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip")

@@ -252,6 +252,16 @@ def test_pieces(spark, docs):
         unknown = sum(c not in score for c in part)
         assert total + unknown * coder.unknown_score == pytest.approx(best[-1]) and run == sum(len(c.encode()) for c in part if c not in score)
         assert coder.decode(coder.encode(text)) == text
+    assert {r.round_trip for r in pieces.encode_and_check(docs, model).collect()} == {True}
+    assert coder._of_pieces("▁then") == coder._with_unknown("▁then") == coder.best("▁then")
+    texts = [cases.prose(seed, 200, 300) for seed in range(30)]
+    whole = [coder.encode(t) for t in texts]
+    before, pieces.MOST_KEPT = pieces.MOST_KEPT, 50  # both tables fill over and over
+    try:
+        small = pieces.Pieces(model)
+        assert [small.encode(t) for t in texts] == whole and len(small.kept) <= 50 and len(small.older) <= 50
+    finally:
+        pieces.MOST_KEPT = before
     got = pieces.decode(pieces.encode(docs, model), model).collect()
     assert all(r.decoded == r.text and (r.ids is None) == (r.text is None) for r in got)
 
