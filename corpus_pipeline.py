@@ -1,7 +1,9 @@
 """A training corpus from raw documents, in stages that each read what the one before has written.
 
 Each stage takes the session, the documents so far and the folder of the tables, and returns documents;
-the last returns them with the ids of their pieces. Rows with null ids go through all stages.
+the last returns them with the ids of their pieces, in columns `ids`, `round_trip` and `n_tokens`, which replace columns
+of these names. Rows with null ids go through all stages; rows that repeat an id and its text go or stay
+together. An empty table gives an empty one. Columns that begin with two underscores are reserved.
 """
 
 from pyspark.sql import DataFrame
@@ -12,16 +14,25 @@ from roadpulse.session import fresh_dir
 
 
 def identify_language(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the languages of the labelled ones; those without letters, and null texts, go."""
-    judged = language_id.predict(docs, language_id.learn(docs))
-    return judged.filter(F.col("lang_pred") != language_id.NONE).select(*docs.columns)
+    """Documents in one of the languages of the labelled ones; those without letters, and null texts, go.
+
+    A document without a language gets the one that it is in. Where no document has one, nothing can be
+    learned, and all stay.
+    """
+    profiles = language_id.learn(docs)
+    if not profiles:
+        return docs
+    names = ("__lang", "__score")
+    judged = language_id.predict(docs, profiles, names=names).filter(F.col(names[0]) != language_id.NONE)
+    return judged.withColumn("lang", F.coalesce("lang", names[0])).select(*docs.columns)
 
 
 def remove_repeated_lines(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that near-equal ones came before; those of which nothing is left go."""
-    cut = line_dedup.remove_lines(docs.withColumn("was_blank", F.col("text").rlike(r"^\s*$")))
-    cut = cut.filter(F.col("text").isNull() | F.col("was_blank") | F.col("text").rlike(r"\S"))
-    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    cut = line_dedup.remove_lines(docs, drop_emptied=True)
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return cut
 
 
 def remove_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,9 +49,8 @@ def remove_benchmark_passages(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_pieces(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with the ids of their pieces, and whether these give the text back."""
-    model = pieces.read_model(spark)
-    both = pieces.decode(pieces.encode(docs, model), model)
-    return both.withColumn("n_tokens", F.size("ids").cast("long")).withColumn("round_trip", F.col("decoded").eqNullSafe(F.col("text"))).drop("decoded")
+    coded = pieces.encode_and_check(docs, pieces.read_model(spark))
+    return coded.withColumn("n_tokens", F.size("ids").cast("long"))
 
 
 STAGES = [

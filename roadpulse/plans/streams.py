@@ -1,6 +1,6 @@
 """Queries that run streaming jobs to the end of the given tables."""
 
-import time
+import math
 
 from pyspark.sql import functions as F
 
@@ -25,56 +25,38 @@ def run(writer, df, checkpoint):
     jobs.start(writer, df, checkpoint, "available now", state_partitions=cores).awaitTermination()
 
 
-FILES = 4
+PARTS, TASK_ROWS = 4, 2_000_000
 
 
-def in_order(df, at: str, path: str, files: int = FILES, late=None) -> str:
-    """Rows written as files that follow each other in time, as a source would get them.
+def _arriving(spark, sf_dir):
+    """The events as a stream of parts in order of time, one for each micro-batch.
 
-    `late` are rows that come once more with the last file. Cuts are those of equal row counts, nearly.
+    Comes twice: when half of the parts are there, and when all are, for a query that ends and starts again
+    from its checkpoint. The first event comes once more with the last part, far too late.
     """
-    marks = df.select(F.percentile_approx(F.col(at).cast("timestamp").cast("double"), F.lit([k / files for k in range(1, files)])).alias("m")).first().m
-    part = sum((F.when(F.col(at).cast("timestamp").cast("double") > m, 1).otherwise(0) for m in marks), F.lit(0))
-    for k in range(files):
-        rows = df.filter(part == k)
-        if late is not None and k == files - 1:
-            rows = rows.unionByName(late)
-        rows.coalesce(1).write.mode("append").parquet(path)
-    return path
-
-
-def _events(spark, sf_dir):
-    """The events in several files, one for each micro-batch, and the first one once more at the end, far too late."""
     events = spark.read.schema(tables.EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
+    at = F.col("ts").cast("timestamp").cast("double")
+    found = events.agg(F.percentile_approx(at, F.lit([k / PARTS for k in range(1, PARTS)])).alias("marks"), F.count(F.lit(1)).alias("n")).first()
+    part = sum((F.when(at > m, 1).otherwise(0) for m in found.marks or []), F.lit(0))
     late = events.orderBy("ts", "event_id").limit(1).withColumn("value", F.col("value") + 1_000_000)
-    path = in_order(events, "ts", fresh_dir(spark, "events"), late=late)
-    return stream_parquet(spark, path, tables.EVENTS_SCHEMA, per_trigger=1)
-
-
-def _twice(make, checkpoint):
-    """Run a query for a moment, stop it where it is, and run it from its checkpoint to the end."""
-    writer, df = make()
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    first = jobs.start(writer, df, checkpoint, state_partitions=cores)
-    while first.isActive and not any(p.numInputRows for p in first.recentProgress):
-        time.sleep(0.1)
-    first.stop()
-    writer, df = make()
-    run(writer, df, checkpoint)
+    files = max(1, math.ceil(found.n / PARTS / TASK_ROWS))  # of each part, which is one micro-batch all the same
+    path = fresh_dir(spark, "events")
+    for k in range(PARTS):
+        rows = events.filter(part == k)
+        rows = rows.unionByName(late) if k == PARTS - 1 else rows
+        rows.repartition(files).write.mode("append").parquet(path)
+        if k in (PARTS // 2 - 1, PARTS - 1):
+            yield stream_parquet(spark, path, tables.EVENTS_SCHEMA, per_trigger=files)
 
 
 def _aggregated(spark, sf_dir):
     """Topics below a new directory, with the hourly averages of the event stream in one of them."""
     root = fresh_dir(spark, "stream")
     topics = DirectoryTopics(spark, f"{root}/topics")
-    events = _events(spark, sf_dir)
-
-    def make():
+    for events in _arriving(spark, sf_dir):
         observed = tables.observe_events(events, tables.registry(spark, sf_dir))
         averages = jobs.aggregate(ingest.encode_observations(observed), "1 hour")
-        return topics.writer(averages, TOPICS[0]), averages
-
-    _twice(make, f"{root}/checkpoint-aggregated")
+        run(topics.writer(averages, TOPICS[0]), averages, f"{root}/checkpoint-aggregated")
     return topics, root
 
 
@@ -110,14 +92,10 @@ def monitor_stream(spark, sf_dir):
 def frame_rate_cap_stream(spark, sf_dir):
     """Slots in which a frame was let through, at one per camera in ten minutes."""
     root = fresh_dir(spark, "stream")
-    events = _events(spark, sf_dir)
-
-    def make():
+    for events in _arriving(spark, sf_dir):
         observed = tables.observe_events(events, tables.registry(spark, sf_dir))
         capped = ingest.cap_frame_rate_stream(observed, fps=1 / 600)
-        return capped.writeStream.format("parquet").option("path", f"{root}/capped"), capped
-
-    _twice(make, f"{root}/checkpoint-cap")
+        run(capped.writeStream.format("parquet").option("path", f"{root}/capped"), capped, f"{root}/checkpoint-cap")
     rows = spark.read.parquet(f"{root}/capped")
     return clean(rows.select("cam_id", F.window("timestamp", "10 minutes")["start"].alias("slot")))
 
