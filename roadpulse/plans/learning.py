@@ -20,12 +20,12 @@ WEEKEND, WEEKDAY = 30.0, 60.0
 SPEC = features.FeatureSpec(lag_step="1 hour")
 
 
-def _training_table(spark, sf_dir, target=F.col("target")):
+def _training_table(spark, sf_dir, target="target"):
     """The training sample, with the volume to learn, as a table that the many passes of the training read."""
     rows = features.training_features(tables.sensor_history(spark, sf_dir), SPEC, tie="dyna_id", keep=["dyna_id", "time"])
     rows = files.written(rows, "training-rows")
     sample = sampling.sample_preferring(rows, 2000, F.col("target") < 150, ["dyna_id"])
-    return files.written(sample.withColumn("target", target), "training")
+    return files.written(sample.withColumn("target", F.col(target) if isinstance(target, str) else target), "training")
 
 
 def _train_and_save(spark, table):
