@@ -35,9 +35,10 @@ from roadpulse.llm.tables import settle
 from roadpulse.session import fresh_dir, ship_package
 
 EDITS, LEAST = 2, 20
-BLOCK_ROWS = 1024
+BLOCK_ROWS, BLOCK_BYTES = 1024, 2_000_000
 BINS = 32
 _PAIRS = 4096  # verified at once
+_BLANK = " \t\x0b\f\r"
 _CELLS = 4_000_000  # characters in a table of them
 
 
@@ -55,15 +56,15 @@ def shifts(less: int, edits: int, k: int) -> range:
     return range(max(-k, less - (edits - k)), min(k, less + (edits - k)) + 1)
 
 
-def _keys(line: str, length: str, edits: int) -> Column:
-    """Array of structs of key and own: whether it is a segment of the line itself."""
+def _keys(wide: str, length: str, edits: int) -> Column:
+    """Array of structs of key and own: whether it is a segment of the line itself. `wide` has four bytes for each character."""
     out = []
     for less in range(edits + 1):
         other = F.col(length) - less
         for k in range(edits + 1):
             start, size = segment(other, edits + 1, k)
             for shift in shifts(less, edits, k):
-                key = F.xxhash64(F.lit(k), other, F.substring(F.col(line), start + shift + 1, size))
+                key = F.xxhash64(F.lit(k), other, F.substring(F.col(wide), 4 * (start + shift) + 1, 4 * size))
                 out.append(F.struct(key.alias("key"), F.lit(less == 0 and shift == 0).alias("own")))
     return F.array(*out)
 
@@ -71,7 +72,7 @@ def _keys(line: str, length: str, edits: int) -> Column:
 def _lines(docs: DataFrame, id: str, text: str, least: int) -> DataFrame:
     """__id, __text, __at, line, and its hashes x and y, for lines of `least` characters that are not blank."""
     return (docs.select(F.col(id).alias("__id"), F.xxhash64(F.col(text)).alias("__text"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("__at", "line"))
-            .filter((F.length("line") >= least) & F.col("line").rlike(r"\S"))
+            .filter((F.length("line") >= least) & (F.btrim("line", F.lit(_BLANK)) != ""))
             .withColumn("x", F.xxhash64("line")).withColumn("y", F.hash("line", F.lit(1))))
 
 
@@ -196,9 +197,12 @@ _BLOCK = ["key", "i", "j"]
 
 
 def _in_blocks(rows: DataFrame) -> DataFrame:
-    """Rows of a key in all pairs of blocks they take part in, sorted for groups."""
-    size = F.count(F.lit(1)).over(W.partitionBy("key"))
-    return (rows.withColumn("blocks", F.ceil(size / BLOCK_ROWS).cast("int")).withColumn("block", F.pmod(F.xxhash64("x", "y"), F.col("blocks")).cast("int"))
+    """Rows of a key in all pairs of blocks they take part in, sorted for groups. Blocks are bounded by rows and by bytes of lines."""
+    in_key = W.partitionBy("key")
+    size = F.count(F.lit(1)).over(in_key) / BLOCK_ROWS
+    if "line" in rows.columns:
+        size = F.greatest(size, F.sum(F.octet_length("line")).over(in_key) / BLOCK_BYTES)
+    return (rows.withColumn("blocks", F.ceil(size).cast("int")).withColumn("block", F.pmod(F.xxhash64("x", "y"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("blocks", "other")
             .repartition(*_BLOCK).sortWithinPartitions(*_BLOCK))
@@ -212,14 +216,17 @@ def line_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", edits:
     settle(spark)
     ship_package(spark)
     lines = _lines(docs, id, text, least)
-    keyed = (lines.withColumn("n", F.length("line")).select("x", F.inline(_keys("line", "n", edits)))
-             .repartition("key").groupBy("key", "x").agg(F.bool_or("own").alias("own")))
+    wide = lines.select("x", "y", F.length("line").alias("n"), F.encode("line", "UTF-32").alias("wide"))
+    keyed = (wide.select("x", "y", F.inline(_keys("wide", "n", edits)))
+             .repartition("key").groupBy("key", "x", "y").agg(F.bool_or("own").alias("own")))
     in_key = W.partitionBy("key")
     shared = (keyed.withColumn("lines", F.count(F.lit(1)).over(in_key)).withColumn("any", F.bool_or("own").over(in_key))
-              .filter("lines > 1 and any").select("key", "x", "own").checkpoint())
+              .filter("lines > 1 and any").select("key", "x", "y", "own").checkpoint())
     place = fresh_dir(spark, "lines")  # the candidates' texts are read twice
-    candidates = shared.select("x").distinct()
-    lines.select("x", "y", "line").join(candidates, "x", "left_semi").dropDuplicates(["x", "y"]).write.parquet(place)
+    candidates = shared.select("x", "y").distinct()
+    # copies of a line combine in each task ahead of the shuffle
+    once = lines.groupBy("x", "y").agg(F.min("line").alias("line"))
+    once.join(candidates, ["x", "y"], "left_semi").write.parquet(place)
     texts = spark.read.parquet(place)
 
     counted_type = T.StructType().add("x", "long").add("y", "integer").add("counts", "binary")
@@ -245,7 +252,7 @@ def line_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", edits:
                 out = table.filter(pa.array(hit))
                 yield from out.select(pair_type.names).combine_chunks().to_batches()
 
-    met = _in_blocks(shared.join(counted, "x").select("key", "x", "y", "own", "counts"))
+    met = _in_blocks(shared.join(counted, ["x", "y"]).select("key", "x", "y", "own", "counts"))
     met = met.mapInArrow(partners, pair_type).distinct()
     link_type = T.StructType().add("a", "string").add("b", "string")
 
@@ -292,13 +299,16 @@ def removed_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", edits
     return gone.groupBy("__id", "__text").agg(F.array_sort(F.collect_set("__at")).alias("removed"))
 
 
-def remove_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", edits: int = EDITS, least: int = LEAST) -> DataFrame:
-    """All rows and columns; the text has the lines that stay."""
+def remove_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", edits: int = EDITS, least: int = LEAST,
+                 drop_emptied: bool = False) -> DataFrame:
+    """All rows and columns; the text has the lines that stay. With `drop_emptied` documents that lose all but blank lines go."""
     gone = removed_lines(docs, id, text, edits, least).withColumnRenamed("removed", "__removed")
     joined = docs.join(gone, F.col(id).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text)) == F.col("__text")), "left")
     # numbers and lines are both in order, so the lines that stay are those at the places not in `removed`
     kept = F.filter(F.split(F.col(text), "\n", -1), lambda _, k: ~F.array_contains("__removed", k))
     new = F.when(F.col("__removed").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
+    if drop_emptied:
+        joined = joined.filter(F.col("__removed").isNull() | (F.btrim(F.array_join(kept, ""), F.lit(_BLANK)) != ""))
     return joined.select(*[new.alias(c) if c == text else docs[c] for c in docs.columns])
 
 
