@@ -1,16 +1,19 @@
 """Secrets in texts: three patterns, and strings that a primed compressor cannot shorten.
 
-Besides the patterns, a candidate is a run of 16 or more token characters, with letters and digits,
-shortly after a word that announces a secret. Its novelty is the bytes it adds to the compressed size
-of the text around it, with a dictionary of code identifiers, for each of its own characters. What is
-in the dictionary or around it adds little; random strings add nearly all their bytes, and are
-reported as `novel` if they overlap no pattern.
+Besides the patterns, a candidate is a run of 16 or more token characters near a word that announces a
+secret, on either side of it. It is measured by the bytes it adds to the compressed size of the text around
+it, with a dictionary of code identifiers. Its novelty is their share of what random strings of the same kinds
+of characters add in its place. What is in the dictionary or around it adds little; a random string adds what
+other random ones do, be it of letters, digits or both, and is reported as `novel` if it overlaps no pattern.
 
 Offsets are code points, ends are exclusive. A null text is empty. Rows are scanned one by one, so
 repeated rows change nothing; columns other than the result's stay.
 """
 
+import itertools
+import random
 import re
+import string as string_kinds
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,12 +33,15 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 _ASSIGNED = ("passw", "secret", "token", "apikey", "api_key")
 
 _SENSITIVE_PARTS = ("pass", "secret", "token", "credential", "key", "auth", "bearer", "signature", "salt", "pwd")
+_ALPHANUMERIC = frozenset(string_kinds.ascii_letters + string_kinds.digits)
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=~-]{16,}")
 _SENSITIVE = re.compile(r"pass(?:word|wd|phrase)?\b|secret|token|credential|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|signature|salt\b|pwd", re.I | re.A)
-BEFORE = 48  # characters in which a sensitive word must stand before a candidate
+NEAR = 64  # characters in which a sensitive word must stand before or after a candidate
 AROUND = 1024  # characters of context on either side
-NOVELTY = 0.9  # compressed bytes for each character
+NOVELTY = 0.8  # share of the bytes that random strings add
+CONTROLS = 5  # random strings; a candidate is compared with the middle one
 PART = 32  # characters measured at once; the coder shortens letters of longer strings by their frequency alone
+LEAST_KINDS = 8  # different letters and digits in a candidate
 
 #: What code is made of; a dictionary of raw content has its most likely parts last.
 IDENTIFIERS = """abstract argument assert async await boolean break buffer callback catch channel class client column commit config connect const
@@ -55,18 +61,41 @@ class Novelty:
     """Marginal compressed bytes of a string in its context."""
 
     def __init__(self, identifiers: list[str]):
-        content = " ".join(identifiers).encode()
+        # as in constants, in the middle of names, and at their beginning
+        written = [w.upper() for w in identifiers] + [w.capitalize() for w in identifiers] + identifiers
+        content = " ".join(written).encode()
+        draw = random.Random(1)
+        # letters as in words, in no order that the dictionary has
+        self.filler = " ".join("".join(draw.sample(w, len(w))) for w in identifiers or ["a"] * AROUND)[:AROUND]
         self.dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        self.compressor = zstandard.ZstdCompressor(level=19, dict_data=self.dictionary, write_content_size=False)
+        self.compressor = zstandard.ZstdCompressor(level=6, dict_data=self.dictionary, write_content_size=False)
 
     def size(self, text: str) -> int:
-        return len(self.compressor.compress(text.lower().encode()))  # identifiers match in any case
+        return len(self.compressor.compress(text.encode()))
 
     def of(self, text: str, start: int, end: int) -> float:
         before, after = text[max(0, start - AROUND) : start], text[end : end + AROUND]
-        parts = [text[k : min(k + PART, end)] for k in range(start, end, PART)]
-        alone = self.size(before + after)
-        return sum(self.size(before + after + part) - alone for part in parts) / (end - start)
+        if len(before) + len(after) < AROUND:  # the coder leaves letters of short inputs as they are
+            before = self.filler[len(before) + len(after) :] + " " + before
+        alone = self.size(before + "\0" + after)  # that the text is cut here is no novelty of the string
+        parts = -(-(end - start) // PART)
+        cuts = [(end - start) * k // parts for k in range(parts + 1)]
+
+        def added(string: str) -> int:
+            return sum(self.size(before + string[a:b] + after) - alone for a, b in itertools.pairwise(cuts))
+
+        own = text[start:end]
+        draw = random.Random(own)  # the same controls whenever the string is met
+        return added(own) / max(1, sorted(added(control(own, draw)) for _ in range(CONTROLS))[CONTROLS // 2])
+
+
+def control(string: str, draw: random.Random) -> str:
+    """A random string with a letter, capital or digit where the given one has one; one of hexadecimal digits for such a one."""
+    letters = string_kinds.ascii_lowercase
+    if all(c in string_kinds.hexdigits for c in string if c in string_kinds.ascii_letters):
+        letters = letters[:6]
+    kinds = (letters, letters.upper(), string_kinds.digits)
+    return "".join(next((draw.choice(kind) for kind in kinds if c in kind), c) for c in string)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -85,19 +114,15 @@ def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty, l
     spans, lower = [], text.lower()
     if not any(w in lower for w in _SENSITIVE_PARTS):
         return spans
-    for word in _SENSITIVE.finditer(text):
-        at = word.end()
-        while found := _CANDIDATE.search(text, at, min(len(text), word.end() + BEFORE + 16)):
-            whole = _CANDIDATE.match(text, found.start())  # the candidate may go on beyond
-            start, end = whole.span()
-            at = end
-            if spans and spans[-1][2] >= end or any(a < end and start < b for a, _, b in base):
-                continue
-            string = whole[0]
-            if not (re.search("[0-9]", string) and re.search("[A-Za-z]", string)):
-                continue
-            if novelty.of(text, start, end) >= least:
-                spans.append((start, 3, end))
+    for found in _CANDIDATE.finditer(text):
+        start, end = found.span()
+        if len(set(found[0]) & _ALPHANUMERIC) < LEAST_KINDS or any(a < end and start < b for a, _, b in base):
+            continue
+        # a word counts that ends before the string or begins after it
+        if not (_SENSITIVE.search(text, max(0, start - NEAR), start) or _SENSITIVE.search(text, end, end + NEAR)):
+            continue
+        if novelty.of(text, start, end) >= least:
+            spans.append((start, 3, end))
     return spans
 
 
@@ -130,7 +155,6 @@ def _joined(spans):
 def op3_secret_scans(spark, sf_dir: str) -> DataFrame:
     found = scan(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
 
-
     def number(kind):
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
