@@ -51,10 +51,10 @@ def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", item: str = "item_id",
               item_text: str = "text", window: int = WINDOW, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
-    """One row per distinct id and text: __id, __text (its hash), n_words, n_hit, and hits, the merged ranges of hit words, and items.
+    """One row per distinct id and text: __id, __text (its hash), n_words, n_hit, and hits, the merged ranges of hit words, items, and rows.
 
     hits holds structs of start and end (exclusive), counted in words; items holds the ids of the
-    items with windows that occur, as strings in order.
+    items with windows that occur, as strings in order; rows is the number of documents with that id and text.
     """
     from_items = benchmark_windows(benchmark, item, item_text, window)
     kinds = from_items.select("__n", "__hash", "__words").distinct()
@@ -84,7 +84,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: s
                         "left")
     first = (F.col("i") == 0) & (F.col("n") == min(lengths))
     kept = (looked.filter(first | F.col("__hash").isNotNull())
-            .select("__id", "__text", "n_words", "i", "__hash", "__n"))
+            .select("__id", "__text", "n_words", "i", "__hash", "__n", first.alias("first")))
 
     # the end of the longest hit before: what lies beyond it is newly covered
     end = F.when(F.col("__hash").isNotNull(), F.col("i") + F.col("__n"))
@@ -94,18 +94,18 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: s
     new = F.when(end > from_, F.struct(from_.alias("start"), end.alias("end")))
     by_doc = (kept.withColumn("new", new)
               .groupBy("__id", "__text")
-              .agg(F.max("n_words").cast("long").alias("n_words"),
+              .agg(F.max("n_words").cast("long").alias("n_words"), F.count_if("first").alias("rows"),
                    F.array_sort(F.collect_list("new")).alias("hits"),
                    F.collect_set(F.when(F.col("__hash").isNotNull(), F.struct("__hash", "__n"))).alias("found")))
     own = from_items.select("__item", F.col("__hash"), F.col("__n"))
     own = small(own) if own.count() <= most_broadcast else own
-    named = (by_doc.select("__id", "__text", "n_words", "hits", F.inline_outer("found"))
+    named = (by_doc.select("__id", "__text", "n_words", "rows", "hits", F.inline_outer("found"))
              .join(own, ["__hash", "__n"], "left")
              .groupBy("__id", "__text")
-             .agg(F.first("n_words").alias("n_words"), F.first("hits").alias("hits"),
+             .agg(F.first("n_words").alias("n_words"), F.first("rows").alias("rows"), F.first("hits").alias("hits"),
                   F.array_sort(F.collect_set(F.col("__item").cast("string"))).alias("items")))
     covered = F.aggregate("hits", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
-    return named.select("__id", "__text", "n_words", covered.alias("n_hit"), "hits", "items")
+    return named.select("__id", "__text", "n_words", covered.alias("n_hit"), "hits", "items", "rows")
 
 
 def contaminated(n_hit: Column, n_words: Column, one_in: int = 20) -> Column:
@@ -137,6 +137,8 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text
 def op2_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = find_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    # a row for each document: those that repeat an id and its text have been worked on as one
+    found = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("rows"))))
     return found.select(F.col("__id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
                         contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
