@@ -6,7 +6,9 @@ class of their nearest decided neighbours. Menus, footers, side bars, forms and
 tag, role or class are left out before. Inside `article` and `main` a block is bad only by its links;
 what stays undecided there is kept.
 
-A null, empty or broken page gives the text that is found, or "". Rows are judged one by one, so
+A null, empty or broken page gives the text that is found, or "". Of an element without an end only the tag goes,
+but for scripts, styles, titles and text areas, which take the rest of the page. The time grows with the
+length of the page, whatever is in it. Rows are judged one by one, so
 repeated rows change nothing. Extra columns stay.
 """
 
@@ -48,7 +50,12 @@ HINTS = frozenset("""ad ads advert adverts advertisement advertising adsense ban
 IN_ARTICLE = HINTS - {"header", "banner"}
 OF_ARTICLE = frozenset("comment comments reply replies ad advert sponsored promo related".split())
 
-_TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|!\[CDATA\[.*?(?:\]\]>|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>)""", re.S)
+#: Of these the rest of the page is content if they are not closed.
+_RAW = frozenset("script style title textarea".split())
+_OPEN = re.compile(r"<(?:!--|!\[CDATA\[|[!?]|(/?)([a-zA-Z][^\s/>]*))")
+_ENDS = {"<!--": "-->", "<![CDATA[": "]]>"}
+#: What stands in a tag behind its name. Nothing is tried twice.
+_REST = re.compile(r"""((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 _MARK = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _NOT_A_MARK = re.compile(r"\b(?:has|no|with|without)[-_]\w+")
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -66,6 +73,36 @@ def _marks(attributes: str) -> set[str]:
     return set(re.split(r"[^a-z]+", _NOT_A_MARK.sub(" ", found))) if found else set()
 
 
+def _tags(page: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """Start, end, slash, name and attributes of each tag; for comments and declarations the name is "".
+
+    Each part of the page is read a fixed number of times: after the first tag whose quotes do not end, a
+    tag ends at the next ">".
+    """
+    at, quoted = 0, True
+    while found := _OPEN.search(page, at):
+        slash, tag = found.groups()
+        if tag is None:
+            mark = _ENDS.get(found.group(), ">")
+            end = page.find(mark, found.end())
+            at = end + len(mark) if end >= 0 else len(page)
+            yield found.start(), at, "", "", ""
+            continue
+        rest = _REST.match(page, found.end()) if quoted else None
+        if rest is None:
+            quoted = False
+            end = page.find(">", found.end())
+            if end < 0:  # no tag is closed from here on
+                return
+            attributes, at = page[found.end() : end], end + 1
+        else:
+            attributes, at = rest.group(1), rest.end()
+        skipped = yield found.start(), at, slash, tag.lower(), attributes
+        if skipped is not None:
+            at = skipped
+            yield 0, 0, "", "", ""  # the answer to send()
+
+
 def _blocks(page: str) -> list[Block]:
     blocks, parts, linked = [], [], 0
     stack: list[tuple[str, bool, int]] = []  # tag, left out, article
@@ -78,27 +115,30 @@ def _blocks(page: str) -> list[Block]:
             blocks.append(Block(text, min(linked, len(text)), heading, article))
         parts, linked = [], 0
 
-    at, end = 0, len(page)
-    while at < end:
-        found = _TAG.search(page, at)
-        text = page[at : found.start()] if found else page[at:]
+    at, tags, endless = 0, _tags(page), set()
+
+    def add(text):
+        nonlocal linked, breaks
         if text and not out:
             parts.append(text)
             if links:
                 linked += len(" ".join(entities.unescape(text).split()))
             if not text.isspace():
                 breaks = 0
-        if not found:
-            break
-        at = found.end()
-        slash, tag, attributes = found.groups()
-        if tag is None:
+
+    for start, stop, slash, tag, attributes in tags:
+        add(page[at:start])
+        at = stop
+        if not tag:
             continue
-        tag = tag.lower()
         if tag in SKIPPED:
-            if not slash and not attributes.endswith("/"):
+            if not slash and not attributes.endswith("/") and tag not in endless:
                 finish = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-                at = finish.end() if finish else end
+                if finish or tag in _RAW:
+                    at = finish.end() if finish else len(page)
+                    tags.send(at)
+                else:  # only the tag itself goes
+                    endless.add(tag)
             parts.append(" ")
         elif tag == "a":
             links = 0 if slash else 1
@@ -124,12 +164,13 @@ def _blocks(page: str) -> list[Block]:
             if tag in ("article", "main"):
                 if marks & OF_ARTICLE:
                     out = True
-                elif not any(t in REGIONS for t, *_ in stack) and not (out and article):
+                elif not any(t in REGIONS and t != "form" for t, *_ in stack) and not (out and article):
                     out = False  # what holds an article is not boilerplate
                     articles += not article
                     article = article or articles
             elif tag in REGIONS or tag == "header" and not article or marks & (IN_ARTICLE if article else HINTS):
                 out = True
+    add(page[at:])
     close()
     return blocks
 

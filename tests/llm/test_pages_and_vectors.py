@@ -1,6 +1,7 @@
 """Operators on pages and vectors."""
 
 import math
+import time
 
 import numpy as np
 import pytest
@@ -19,6 +20,25 @@ def test_article():
     assert html_text.main_text(page) == f"Head & line\n{LONG}\nOsie de.\na b"
 
 
+def test_elements_without_an_end():
+    after = f"<p>{LONG}</p>"
+    for tag in ("button", "select", "map", "noscript", "canvas", "svg"):
+        assert html_text.main_text(f"<article>{after}<{tag}>{after}</article>") == f"{LONG}\n{LONG}"
+        assert html_text.main_text(f"<article>{after}<{tag}>go</{tag}>{after}</article>") == f"{LONG}\n{LONG}"
+    for tag in ("script", "style", "textarea"):
+        assert html_text.main_text(f"<article>{after}<{tag}>{after}</article>") == LONG
+    assert html_text.main_text(f"<form><article>{after}</article><p>Mail</p></form>") == LONG
+    assert html_text.main_text(f"<nav><article>{after}</article></nav>") == ""
+
+
+def test_long_pages_take_time_by_their_length():
+    for part in ('<p x="', "<p \"'>", "<button>", "<", "<!--", "<a href='"):
+        begun = time.process_time()
+        html_text.main_text(part * (1_000_000 // len(part)))
+        assert time.process_time() - begun < 5, part
+    assert html_text.main_text(f'<article><p title="a > b">{LONG}</p><p title="open>{LONG}</p>') == f"{LONG}\n{LONG}"
+
+
 def test_page_without_article():
     page = f"""<body><header>Site</header><div class="cookie-notice">{LONG}</div><div id="content"><h2>Head</h2><p>{LONG}</p><p>Short.</p><p>{LONG}</p></div>
       <aside>{LONG}</aside><div><a href="x">{LONG}</a></div><p>Tiny</p></body>"""
