@@ -1,7 +1,6 @@
 """Arrow batches of texts as numpy arrays: slices of bounded size, words and window hashes.
 
-Hashes are polynomials modulo 2**64, taken from prefix sums, so a window of any length costs the
-same. They are the same on every machine and in every run.
+Hashes are polynomials modulo 2**64. They are the same on every machine and in every run.
 """
 
 from collections.abc import Iterator
@@ -12,14 +11,16 @@ import pyarrow.compute as pc
 
 #: Bytes of text that are worked on at once; one longer text is a slice of its own.
 SLICE_BYTES = 1_000_000
-#: Fixed odd multipliers and their inverses modulo 2**64.
-_BASES = tuple((b, pow(b, -1, 1 << 64)) for b in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F))
+#: Fixed odd multipliers.
+_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F)
 #: The white space of words: \x20 and \x09-\x0D.
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 #: A-Z to a-z, other bytes as they are.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
+#: Values that are hashed at once, and the longest run that is not put together from parts.
+_CHUNK, _PART = 1 << 18, 1 << 16
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -45,10 +46,10 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def powers(kind: int, n: int) -> np.ndarray:
-    """The powers 0 to n of a multiplier (kinds 0, 2, 4) or of its inverse (1, 3, 5)."""
-    if kind not in _powers or len(_powers[kind]) <= n:
-        steps = np.full(1 << (n + 1).bit_length(), _BASES[kind // 2][kind % 2], np.uint64)
+def powers(kind: int) -> np.ndarray:
+    """The powers of a multiplier (kinds 0, 2, 4) for the places in a part of a run."""
+    if kind not in _powers:
+        steps = np.full(_PART, _BASES[kind // 2], np.uint64)
         steps[0] = 1
         _powers[kind] = np.multiply.accumulate(steps)
     return _powers[kind]
@@ -61,11 +62,33 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def ranges(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: int) -> np.ndarray:
-    """A hash of each values[start:end]; equal runs have equal hashes wherever they stand."""
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * powers(kind, len(values))[: len(values)], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * powers(kind + 1, len(values))[starts])
+def ranges(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: int, plus: int = 0) -> np.ndarray:
+    """A hash of each values[start:end] (plus a number each); equal runs have equal hashes wherever they stand.
+
+    Works on some runs at a time, and on long ones in parts, so it needs little more memory than its result.
+    """
+    counts = np.maximum(-(-(ends - starts) // _PART), 1)
+    owner, part = np.repeat(np.arange(len(starts)), counts), spread(np.zeros(len(starts), np.int64), counts)
+    begin = starts[owner] + part * _PART
+    sizes = np.minimum(begin + _PART, ends[owner]) - begin
+    sums, table, until = np.zeros(len(begin), np.uint64), powers(kind), np.cumsum(sizes)
+    at = 0
+    while at < len(begin):
+        stop = max(at + 1, int(np.searchsorted(until, (until[at - 1] if at else 0) + _CHUNK, "right")))
+        size = sizes[at:stop]
+        some = size > 0
+        if some.any():
+            read = values[spread(begin[at:stop], size)].astype(np.uint64) + np.uint64(plus)
+            read *= table[spread(np.zeros(len(size), np.int64), size)]
+            firsts = (np.cumsum(size) - size)[some]
+            sums[at:stop][some] = np.add.reduceat(read, firsts)
+        at = stop
+    if len(begin) > len(starts):
+        step, weights = pow(_BASES[kind // 2], _PART, 1 << 64), [1]
+        for _ in range(int(part.max())):
+            weights.append(weights[-1] * step % (1 << 64))
+        sums = np.add.reduceat(sums * np.array(weights, np.uint64)[part], np.cumsum(counts) - counts)
+    return mixed(sums)
 
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -80,14 +103,25 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: int = 0) -> np.ndarray:
-    return ranges(data.astype(np.uint64) + np.uint64(1), starts, ends, kind)
+    return ranges(data, starts, ends, kind, plus=1)
 
 
 def windows(hashes: np.ndarray, length: int, kind: int = 2) -> np.ndarray:
     """The hash of each run of `length` words; runs over the end of a text are for the caller to leave out."""
     n = max(0, len(hashes) - length + 1)
-    starts = np.arange(n)
-    return ranges(hashes, starts, starts + length, kind)
+    out, done = np.zeros(n, np.uint64), 0
+    if not n:
+        return out
+    # sums over 1, 2, 4, ... words, and from them those over the length
+    run, size, base = hashes, 1, _BASES[kind // 2]
+    while True:
+        if length & size:
+            out += run[done : done + n] * np.uint64(pow(base, done, 1 << 64))
+            done += size
+        if done == length:
+            return mixed(out)
+        run = run[:-size] + run[size:] * np.uint64(pow(base, size, 1 << 64))
+        size *= 2
 
 
 def inside(firsts: np.ndarray, length: int) -> np.ndarray:

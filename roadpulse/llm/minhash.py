@@ -38,7 +38,7 @@ TIE = 0.4  # estimated similarity from which a tie stays; eight standard errors
 #: path, so what it may be linked with (estimated six standard errors below 0.8 at least) is tied to the hub too.
 DONE = 0.75
 REST_ROWS = 1024  # nodes of a bucket in a block, compared by their bits
-BLOCK_ROWS, BLOCK_BYTES = 600, 8_000_000
+BLOCK_ROWS, BLOCK_BYTES = 600, 4_000_000
 _random = np.random.Generator(np.random.Philox(key=7))
 _XOR = _random.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
 _MULTIPLY = _random.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
@@ -64,6 +64,17 @@ def shingle_sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
     return values, np.searchsorted(of, np.arange(len(counts) + 1))
 
 
+def _sets_in_slices(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same for many texts, of which a few are worked on at a time."""
+    values, firsts, total = [], [], 0
+    for part in B.slices([pa.RecordBatch.from_arrays([texts], names=["text"])], "text"):
+        own, begin = shingle_sets(part.column("text"), words)
+        values.append(own)
+        firsts.append(begin[:-1] + total)
+        total += len(own)
+    return np.concatenate([np.zeros(0, np.uint64), *values]), np.concatenate([np.zeros(0, np.int64), *firsts, [total]]).astype(np.int64)
+
+
 def digests(values: np.ndarray, firsts: np.ndarray) -> list[bytes]:
     """12 bytes for each set, equal for equal sets."""
     out = []
@@ -214,8 +225,19 @@ def _near_bits(bits: np.ndarray, low: np.ndarray, high: np.ndarray) -> list[tupl
     return found
 
 
+def _stars(n: int, pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The least row of each component with each other row of it."""
+    forest = _Forest(n)
+    for a, b in pairs:
+        forest.tie(a, b)
+    return [(root, k) for k in sorted({k for pair in pairs for k in pair}) if (root := forest.root(k)) != k]
+
+
 def _rest_ties(rest: DataFrame, bits: DataFrame) -> DataFrame:
-    """Ties a, b between nodes that share a key in `rest`, as a spanning forest for each pair of blocks of a key."""
+    """Ties a, b between nodes that share a key in `rest`, each node with the least one of its component in a pair of blocks of a key.
+
+    Nodes that meet under many keys are mostly tied to the same least one, so that few ties are left.
+    """
     rows = (rest.withColumn("rows", F.count(F.lit(1)).over(W.partitionBy("key"))).filter("rows > 1")
             .withColumn("blocks", F.ceil(F.col("rows") / REST_ROWS).cast("int")).join(bits, "__set")
             .withColumn("block", F.pmod(F.xxhash64("__set"), F.col("blocks")).cast("int"))
@@ -231,10 +253,10 @@ def _rest_ties(rest: DataFrame, bits: DataFrame) -> DataFrame:
             codes = group.column("bits").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(block), -1)
             found = _near_bits(codes, np.flatnonzero(block == group.column("i")[0].as_py()), np.flatnonzero(block == group.column("j")[0].as_py()))
             if found:
-                a, b = zip(*found)
+                a, b = zip(*_stars(len(block), found))
                 yield pa.RecordBatch.from_arrays([sets.take(pa.array(x)).combine_chunks() for x in (a, b)], names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema).distinct()
 
 
 def _links(texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -248,7 +270,7 @@ def _links(texts: DataFrame, words: int, percent: int) -> DataFrame:
     schema = T.StructType().add("a", "binary").add("b", "binary")
 
     def confirm(table: pa.Table) -> pa.Table:
-        values, firsts = shingle_sets(table.column("text").combine_chunks(), words)
+        values, firsts = _sets_in_slices(table.column("text").combine_chunks(), words)
         own, block = table.column("__set").to_pylist(), table.column("block").to_numpy()
         # an id may be repeated with other texts, and a row with itself: one row for each set goes on
         row = {}
@@ -266,3 +288,19 @@ def _links(texts: DataFrame, words: int, percent: int) -> DataFrame:
 def op7_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return near_duplicates(docs, words=2).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+SQL = r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents),
+shingles as (select distinct doc_id, s from (select doc_id, unnest(case when len(ws) = 1 then ws
+                 else list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) end) as s from w where len(ws) > 0)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+common as (select a.doc_id as a, b.doc_id as b, count(*) as c from shingles a join shingles b using (s) where a.doc_id < b.doc_id group by all),
+links as (select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * c >= 80 * (x.n + y.n - c)),
+both_ways as (select a, b from links union all select b, a from links),
+reach as (select a as doc_id, a as other from both_ways union select reach.doc_id, b from reach join both_ways on a = other),
+least as (select doc_id, min(other) as component from reach group by doc_id)
+select d.doc_id, coalesce(n, 0)::bigint as n_shingles, coalesce(least(component, d.doc_id), d.doc_id) as component_id,
+       coalesce(least(component, d.doc_id), d.doc_id) = d.doc_id as kept
+from documents d left join sizes using (doc_id) left join least using (doc_id)
+"""
