@@ -23,4 +23,6 @@ QUERIES = {
 SQL = {
     "op2_benchmark_decontamination": decontaminate.SQL,
     "op5_exact_top_k": top_k.SQL,
+    "op6_substring_dedup": substring_dedup.SQL,
+    "op7_minhash_near_dedup": minhash.SQL,
 }

@@ -153,3 +153,16 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, ch
 def op6_substring_dedup(spark, sf_dir: str) -> DataFrame:
     kept = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SQL = r"""
+with w as (select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as ws from documents),
+starts as (select doc_id, ws, unnest(range(1, len(ws) - 33)) as i from w),
+windows as (select doc_id, i, sha256(array_to_string(ws[i : i + 34], ' ')) as h from starts),
+gone as (select doc_id, list(distinct k) as ks from (select doc_id, unnest(range(i, i + 35)) as k from windows
+         where h in (select h from windows group by h having count(*) > 1)) group by doc_id),
+kept as (select w.doc_id, len(ws) as n_words, coalesce(len(ks), 0) as n_removed,
+         case when ks is null then ws else list_transform(list_filter(list_zip(ws, range(1, len(ws) + 1)), lambda p: not list_contains(ks, p[2])), lambda p: p[1]) end as words
+         from w left join gone using (doc_id))
+select doc_id, n_words::bigint as n_words, n_removed::bigint as n_removed, sha256(array_to_string(words, ' ')) as kept_sha256 from kept
+"""
