@@ -2,14 +2,16 @@
 
 import collections
 import hashlib
+import random
 import re
+import string
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from roadpulse.llm import decontaminate, language_id, line_dedup, minhash, pieces, secret_scan, substring_dedup
+from roadpulse.llm import batches, decontaminate, language_id, line_dedup, minhash, pieces, secret_scan, substring_dedup
 
 from . import cases
 
@@ -276,6 +278,40 @@ def test_secrets(spark):
     assert got[4] == [("novel", 11, 11 + len(key))] and not any(got[k] for k in (5, 6, 7, 8, 9))
 
 
+def test_recall_of_planted_secrets():
+    """Random strings at many places of prose, on both sides of a word that announces them, by kind; and what is none."""
+    letters, draw, novelty = string.ascii_letters, random.Random(5), secret_scan.Novelty(secret_scan.IDENTIFIERS)
+    texts = [cases.prose(seed, 300, 400) for seed in range(20)]
+    kinds = {"base62": letters + string.digits, "HEX": "0123456789ABCDEF", "lower": string.ascii_lowercase, "letters": letters, "base32": string.ascii_uppercase + "234567"}
+
+    def found(secret, before):
+        text = draw.choice(texts)
+        place = text.index(" ", draw.randrange(len(text) - 200))
+        text = text[:place] + (f" {secret} is the bearer" if before else f" bearer {secret}") + text[place:]
+        start = text.index(secret)
+        return (start, 3, start + len(secret)) in secret_scan.novel_spans(text, [], novelty, secret_scan.NOVELTY)
+
+    for kind, alphabet in kinds.items():
+        for size in (20, 32, 40):
+            hits = [found("".join(draw.choice(alphabet) for _ in range(size)), k % 2) for k in range(60)]
+            assert sum(hits) / len(hits) >= 0.9, (kind, size)
+    names = ["getUserNameFromConfig2Handler", "authenticationTokenProvider", "org/apache/commons/lang/functions", "client_secret_key_name", "password_reset_template_path"]
+    hits = [found(name, k % 2) for name in names for k in range(10)]
+    assert sum(hits) / len(hits) <= 0.2
+    assert not secret_scan.novel_spans("bearer " + "=" * 40 + " " + "ab" * 20, [], novelty, secret_scan.NOVELTY)
+
+
+def test_base_spans_by_plain_search(spark, docs):
+    patterns = [(r"""(?ia:(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+))""", 6), ("AKIA[A-Z0-9]+", 20), ("[0-9a-f]+", 24)]
+    rows = {r.doc_id: r.text or "" for r in docs.collect()}
+    rows |= {100: "x password: hunter2 TOKEN='abc' api_key=abc.def+", 101: "AKIA" * 6 + " " + "ab" * 14 + "g" + "01" * 12, 102: "secretsecret=  \"abcdefg\" apikey:token:abcdefgh"}
+    table = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    got = {r.doc_id: [(s.start, s.kind, s.end) for s in r.spans if s.kind != "novel"] for r in secret_scan.scan(table).collect()}
+    for id, text in rows.items():
+        spans = [(m.start(), k, m.end()) for k, (p, least) in enumerate(patterns) for m in re.finditer(p, text) if len(m[2] if k == 0 else m[0]) >= least]
+        assert got[id] == [(a, secret_scan.KINDS[k], b) for a, k, b in sorted(spans)], id
+
+
 @pytest.mark.parametrize("table", ["odd", "empty"])
 def test_odd_and_empty_tables(spark, folder, table):
     docs = getattr(cases, table)(spark)
@@ -295,6 +331,58 @@ def test_odd_and_empty_tables(spark, folder, table):
     assert coded.filter(~F.col("decoded").eqNullSafe(F.col("text"))).count() == 0 and coded.count() == n
 
 
+def test_a_row_for_each_document(spark, folder, tmp_path):
+    repeated = cases.documents(spark).limit(4)
+    repeated.unionByName(repeated.filter("doc_id < 2")).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{folder}/benchmark.parquet").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = [r.doc_id for r in decontaminate.op2_benchmark_decontamination(spark, str(tmp_path)).collect()]
+    assert sorted(got) == [0, 0, 1, 1, 2, 3]
+
+
+def test_hashes_of_runs_by_plain_sums():
+    rng = np.random.default_rng(2)
+    data = rng.integers(0, 256, 300_000, dtype=np.uint8)
+    starts, ends = np.array([0, 5, 9, 30, 200_000]), np.array([5, 9, 9, 200_000, 300_000])
+    base = batches._BASES[1]
+
+    def plain(values):
+        total, power = 0, 1
+        for v in values:
+            total, power = (total + (int(v) + 1) * power) % 2**64, power * base % 2**64
+        return total
+
+    expected = batches.mixed(np.array([plain(data[a:b]) for a, b in zip(starts, ends)], np.uint64))
+    assert (batches.ranges(data, starts, ends, 2, plus=1) == expected).all()
+    words = rng.integers(0, 2**63, 50).astype(np.uint64)
+    for length in (1, 2, 3, 7, 35, 50, 51):
+        n = max(0, 50 - length + 1)
+        each = batches.ranges(words, np.arange(n), np.arange(n) + length, 4)
+        assert (batches.windows(words, length, 4) == each).all() and len(each) == n
+
+
+@pytest.mark.parametrize("table", ["odd", "empty"])
+def test_pipeline_on_odd_and_empty_tables(spark, folder, table):
+    now = getattr(cases, table)(spark)
+    for name, stage in corpus_pipeline.STAGES:
+        before, now = now, stage(spark, now, folder).cache()
+        assert name == "sentencepiece" or now.columns == before.columns
+    assert now.count() == (1 if table == "odd" else 0)  # the other texts hold a benchmark passage, or none at all
+
+
+def test_languages_in_the_pipeline(spark, folder, docs):
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.identify_language(spark, unlabelled, folder).count() == docs.count()
+    filled = corpus_pipeline.identify_language(spark, docs, folder)
+    assert filled.filter("lang is null").count() == 0
+    assert {r.doc_id: r.lang for r in docs.filter("lang is not null").collect()}.items() >= {r.doc_id: r.lang for r in filled.collect() if r.doc_id % 3 < 2}.items()
+
+
+def test_columns_of_the_user_stay(spark, folder, docs):
+    marked = docs.withColumn("was_blank", F.lit("mine")).drop("n_chars")
+    rows = corpus_pipeline.remove_repeated_lines(spark, marked, folder)
+    assert rows.columns == marked.columns and {r.was_blank for r in rows.collect()} == {"mine"}
+
+
 def test_pipeline(spark, docs, folder):
     seen, now = [], docs
     for _, stage in corpus_pipeline.STAGES:
