@@ -1,5 +1,7 @@
 """Queries on how messages arrive: bad ones, late ones, lost ones, new ones only, and images from files."""
 
+import math
+
 from pyspark.sql import functions as F
 
 from roadpulse.functions.collections import map_total
@@ -18,6 +20,7 @@ from roadpulse.streaming.screening import Screen
 
 PARTS = 4
 FRAMES = "traffic-volume"
+LATEST_FILES = 100  # of a whole table, about
 
 
 def _part(time):
@@ -85,14 +88,18 @@ def batch_score_workers(spark, sf_dir):
 
 
 def latest_start_stream(spark, sf_dir):
-    """A stream that starts at the latest message sees what is published from then on, also while it is down."""
+    """A stream that starts at the latest message sees what is published from then on, also while it is down.
+
+    A larger table comes in larger files and batches, not in more of them: each batch goes over the list of all files.
+    """
     root = fresh_dir(spark, "latest")
-    topics = DirectoryTopics(spark, f"{root}/topics", messages_per_file=1000)
+    per_file = max(1000, math.ceil(tables.events(spark, sf_dir).count() / LATEST_FILES))
+    topics = DirectoryTopics(spark, f"{root}/topics", messages_per_file=per_file)
     rows = _observation_messages(spark, sf_dir).withColumn("offset", F.col("event_id"))
     for part in range(PARTS):
         topics.publish(rows.filter(_part("ts") == part), "traffic-raw")
         if part in (1, 3):  # down while the third part comes
-            stream = topics.stream("traffic-raw", starting="latest", group="averages", per_trigger=4000)
+            stream = topics.stream("traffic-raw", starting="latest", group="averages", per_trigger=4 * per_file)
             new = stream.select(F.col("offset").alias("event_id"), F.col("key").cast("string").alias("cam_id"))
             run(new.writeStream.format("parquet").option("path", f"{root}/new"), new, f"{root}/checkpoint")
     return spark.read.schema("event_id bigint, cam_id string").parquet(f"{root}/new")
