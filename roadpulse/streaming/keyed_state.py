@@ -2,7 +2,8 @@
 
 The state holds what the serving table holds: the newest history and forecast entries of a camera in their
 last versions, its last reported location and when it was last heard of. A batch reads and writes the
-state of the cameras it has messages of and of no others. Times are microseconds since 1970 in the state.
+state of the cameras it has messages of and of no others. Each task cuts its entries to those that may be held ahead
+of the shuffle, so one busy camera sends few rows to its task. Times are microseconds since 1970 in the state.
 
 `camera_lists` gives each changed camera's lists; `held_entries` reads the state from a checkpoint, without the stream.
 """
@@ -10,6 +11,10 @@ state of the cameras it has messages of and of no others. Times are microseconds
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -89,6 +94,40 @@ class CameraEntries(StatefulProcessor):
         pass
 
 
+_CUT_ROWS, _HELD_ROWS = 50_000, 200_000
+
+
+def _needed(table: pa.Table, limits: dict[str, int]) -> pa.Table:
+    """The rows on which the state depends: last versions of each camera's newest times, its last message and its last location."""
+    rows = table.select(["cam_id", "kind", "time_key", *_VERSION.names]).to_pandas()
+    rows["cam_id"] = pd.factorize(rows["cam_id"])[0]
+    rows["located"] = (rows["kind"] == "history") & pc.is_valid(table.column("location")).to_numpy()
+    rows = rows.sort_values(_VERSION.names, kind="stable")
+    newest = rows.drop_duplicates(["cam_id", "kind", "time_key"], keep="last").sort_values("time_key")
+    later = newest.groupby(["cam_id", "kind"]).cumcount(ascending=False)
+    kept = [newest[later < newest["kind"].map(limits)], *[r.drop_duplicates("cam_id", keep="last") for r in (rows, rows[rows["located"]])]]
+    return table.take(pa.array(np.unique(np.concatenate([k.index.to_numpy() for k in kept]))))
+
+
+def _cut(limits: dict[str, int]):
+    """Cuts the batches of a task, many at once; what is held is sent on when it grows large."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, least = [], _CUT_ROWS
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= least:
+                held = _needed(pa.Table.from_batches(held), limits).combine_chunks().to_batches()
+                rows = sum(b.num_rows for b in held)
+                if rows >= _HELD_ROWS:
+                    yield from held
+                    held, rows = [], 0
+                least = 2 * rows + _CUT_ROWS
+        if held:
+            yield from _needed(pa.Table.from_batches(held), limits).to_batches()
+
+    return run
+
+
 def camera_lists(entries: DataFrame, history_limit: int = HISTORY_LIMIT, forecast_limit: int = FORECAST_LIMIT) -> DataFrame:
     """A stream of the cameras that a batch changes, from a stream of serving entries.
 
@@ -99,6 +138,7 @@ def camera_lists(entries: DataFrame, history_limit: int = HISTORY_LIMIT, forecas
         "cam_id", "kind", F.coalesce("seq.offset", F.lit(-1)).alias("offset"), F.coalesce(F.unix_micros("seq.timestamp"), F.lit(-1)).alias("sent"),
         F.col("seq.tie").alias("tie"), *[F.unix_micros(c).alias(c) for c in ("time_key", "end_time", "base_time_t", "updated_at")],
         "location", "avg_traffic_volume", "current_volume", "predicted_volume", "is_padded")
+    rows = rows.mapInArrow(_cut({"history": history_limit, "forecast": forecast_limit}), rows.schema)
     states = rows.groupBy("cam_id").transformWithState(
         CameraEntries(history_limit, forecast_limit), outputStructType=_OUTPUT, outputMode="Update", timeMode="None")
     return states.select("cam_id", "location", F.timestamp_micros("last_updated").alias("last_updated"),
