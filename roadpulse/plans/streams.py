@@ -26,6 +26,7 @@ def run(writer, df, checkpoint):
 
 
 PARTS, TASK_ROWS = 4, 2_000_000
+FILE_MESSAGES = 250_000  # of a topic, parsed by one task
 
 
 def _arriving(spark, sf_dir):
@@ -101,22 +102,25 @@ def frame_rate_cap_stream(spark, sf_dir):
 
 
 def _published(spark, sf_dir):
+    """Topics of the serving messages, in parts in order of offset, and the number of files of a part in each topic."""
     root = fresh_dir(spark, "stream")
     topics = DirectoryTopics(spark, f"{root}/topics")
-    messages = tables.serving_messages(tables.events(spark, sf_dir), tables.registry(spark, sf_dir))
-    for topic in TOPICS:
-        own = messages.filter(F.col("topic") == topic).cache()
-        bound = own.agg(F.percentile_approx("offset", F.lit([0.25, 0.5, 0.75])).alias("m")).first().m if "offset" in own.columns else []
-        for low, high in zip([None, *bound], [*bound, None]):
-            keep = (F.col("offset") > low if low is not None else F.lit(True)) & (F.col("offset") <= high if high is not None else F.lit(True))
-            topics.publish(own.filter(keep) if bound else own, topic)
-        own.unpersist()
-    return topics, root
+    events, places = tables.events(spark, sf_dir), tables.registry(spark, sf_dir)
+    found = events.agg(F.percentile_approx("event_id", F.lit([k / PARTS for k in range(1, PARTS)])).alias("marks"), F.count(F.lit(1)).alias("n")).first()
+    bound = found.marks or []
+    files = max(1, math.ceil(found.n / PARTS / FILE_MESSAGES))
+    for low, high in zip([None, *bound], [*bound, None]):
+        keep = (F.col("event_id") > low if low is not None else F.lit(True)) & (F.col("event_id") <= high if high is not None else F.lit(True))
+        # events are dealt to the files, as they are smaller than their messages
+        messages = tables.serving_messages((events.filter(keep) if bound else events).repartition(files), places)
+        for topic in TOPICS:
+            topics.publish(messages.filter(F.col("topic") == topic), topic)
+    return topics, root, files
 
 
 def topic_dispatch(spark, sf_dir):
     """One stream over two topics, told apart by topic."""
-    topics, root = _published(spark, sf_dir)
+    topics, root, _ = _published(spark, sf_dir)
     entries = serving_entries(topics.stream(TOPICS), *TOPICS).select("cam_id", "kind", "time_key")
     run(entries.writeStream.format("parquet").option("path", f"{root}/entries"), entries, f"{root}/checkpoint-entries")
     rows = spark.read.parquet(f"{root}/entries")
@@ -124,9 +128,9 @@ def topic_dispatch(spark, sf_dir):
 
 
 def serving_upsert_stream(spark, sf_dir):
-    """The serving table kept by a stream over both topics, in several micro-batches."""
-    topics, root = _published(spark, sf_dir)
-    messages = topics.stream(TOPICS, per_trigger=1)
+    """The serving table kept by a stream over both topics, in a micro-batch for each part, be it of many files."""
+    topics, root, files = _published(spark, sf_dir)
+    messages = topics.stream(TOPICS, per_trigger=files)
     table = ServingTable(spark, f"{root}/serving", *TOPICS)
     run(table.writer(messages), messages, f"{root}/checkpoint-serving")
     return document_rows(table.documents(tables.registry(spark, sf_dir)))
