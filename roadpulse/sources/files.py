@@ -8,7 +8,7 @@ from roadpulse.functions.envelope import parse_time
 from roadpulse.functions.headers import make_headers
 from roadpulse.operators.ingest import frame_messages
 from roadpulse.schemas import SENSOR_HISTORY_CSV
-from roadpulse.session import fresh_dir
+from roadpulse.session import fresh_dir, session_settings
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -46,6 +46,18 @@ def read_image_frames(spark: SparkSession, paths: Iterable[str], cam_id: str, lo
                         headers.alias("headers"), "path")
 
 
+#: Tasks per core that list and read files. Spark would list each folder and read each 32 small files in a task of their own.
+FILE_TASKS = 32
+
+
+def list_files(spark: SparkSession, folders: str | Iterable[str], **options) -> DataFrame:
+    """Binary files of folders and of those in them, listed and read in a number of tasks that does not grow with the files."""
+    tasks = FILE_TASKS * spark.sparkContext.defaultParallelism
+    with session_settings(spark, {"spark.sql.sources.parallelPartitionDiscovery.parallelism": tasks}):
+        files = spark.read.format("binaryFile").options(recursiveFileLookup=True, **options).load(folders)
+    return files.coalesce(tasks)
+
+
 def backfill_frames(asked: DataFrame, folders: str | Iterable[str], decodes: Callable[[Column], Column],
                     taken_at: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Frame messages for a table of image files, and the files that give none, with the reason.
@@ -56,7 +68,7 @@ def backfill_frames(asked: DataFrame, folders: str | Iterable[str], decodes: Cal
     """
     spark = asked.sparkSession
     folders = [folders] if isinstance(folders, str) else list(folders)
-    files = spark.read.format("binaryFile").options(recursiveFileLookup=True, ignoreMissingFiles=True).load(folders)
+    files = list_files(spark, folders, ignoreMissingFiles=True)
     # The contents are on the side that is not moved as long as the list is small enough to be sent to it.
     found = files.select("path", "content").join(asked, "path").withColumn("__decodes", decodes(F.col("content")))
     missing = asked.join(files.select("path"), "path", "left_anti").withColumn("reason", F.lit("missing"))

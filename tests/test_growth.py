@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadpulse.plans import arrivals, streams
+from roadpulse.sources import files
 from roadpulse.sources.paths import Folder
 from roadpulse.streaming.keyed_state import _cut
 
@@ -37,8 +38,8 @@ def test_a_larger_table_comes_in_larger_files(spark, tmp_path, monkeypatch):
 def test_a_part_of_many_files_is_one_batch(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(streams, "FILE_MESSAGES", 10)
     path = _tables(spark, tmp_path, 100)
-    topics, _, files = streams._published(spark, path)
-    assert files == 3
+    topics, _, per_part = streams._published(spark, path)
+    assert per_part == 3
     for topic in streams.TOPICS:
         assert len([n for n in Folder(spark, topics.path(topic)).names() if n.startswith("part-")]) == 3 * streams.PARTS
         assert sorted(r.offset for r in topics.read(topic).collect()) == list(range(100))
@@ -67,3 +68,11 @@ def test_a_task_sends_only_entries_that_may_be_held():
 
     assert held(sent) == held(rows) and len(sent) <= 2 * (3 + 5 + 2)
     assert list(_cut(limits)(iter([]))) == []
+
+
+def test_files_are_read_in_a_bounded_number_of_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "FILE_TASKS", 1)
+    spark.range(200).select(F.col("id").cast("string").alias("value"), "id").repartition(1).write.partitionBy("id").text(f"{tmp_path}/images")
+    listed = files.list_files(spark, f"{tmp_path}/images", pathGlobFilter="part-*")
+    assert listed.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(int(r.content) for r in listed.collect()) == list(range(200))
