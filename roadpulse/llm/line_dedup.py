@@ -42,7 +42,7 @@ _BLANK = " \t\x0b\f\r"
 _CELLS = 4_000_000  # characters in a table of them
 
 
-def segment(length, parts: int, k: int):
+def segment(length, parts: int, k):
     """Start (from 0) and size of segment k of a text; the last segments are longer by one if need be. For numbers and columns."""
     short = (length - length % parts) / parts
     if isinstance(length, Column):
@@ -56,17 +56,18 @@ def shifts(less: int, edits: int, k: int) -> range:
     return range(max(-k, less - (edits - k)), min(k, less + (edits - k)) + 1)
 
 
-def _keys(wide: str, length: str, edits: int) -> Column:
-    """Array of structs of key and own: whether it is a segment of the line itself. `wide` has four bytes for each character."""
-    out = []
-    for less in range(edits + 1):
-        other = F.col(length) - less
-        for k in range(edits + 1):
-            start, size = segment(other, edits + 1, k)
-            for shift in shifts(less, edits, k):
-                key = F.xxhash64(F.lit(k), other, F.substring(F.col(wide), 4 * (start + shift) + 1, 4 * size))
-                out.append(F.struct(key.alias("key"), F.lit(less == 0 and shift == 0).alias("own")))
-    return F.array(*out)
+def _keyed(lines: DataFrame, edits: int) -> DataFrame:
+    """x, y, key and own (whether it is a segment of the line itself) of lines with x, y, n and `wide`, which has four bytes for each character.
+
+    Places are exploded first and keys computed of each: all keys in one expression are more code than the JVM compiles.
+    """
+    places = F.array(*[F.struct(F.lit(less).alias("less"), F.lit(k).alias("k"), F.lit(shift).alias("shift"))
+                       for less in range(edits + 1) for k in range(edits + 1) for shift in shifts(less, edits, k)])
+    each = lines.select("x", "y", "n", "wide", F.inline(places))
+    k, other = F.col("k"), F.col("n") - F.col("less")
+    start, size = segment(other, edits + 1, k)
+    key = F.xxhash64(k, other, F.substring("wide", 4 * (start + F.col("shift")) + 1, 4 * size))
+    return each.select("x", "y", key.alias("key"), ((F.col("less") == 0) & (F.col("shift") == 0)).alias("own"))
 
 
 def _lines(docs: DataFrame, id: str, text: str, least: int) -> DataFrame:
@@ -217,7 +218,7 @@ def line_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", edits:
     ship_package(spark)
     lines = _lines(docs, id, text, least)
     wide = lines.select("x", "y", F.length("line").alias("n"), F.encode("line", "UTF-32").alias("wide"))
-    keyed = (wide.select("x", "y", F.inline(_keys("wide", "n", edits)))
+    keyed = (_keyed(wide, edits)
              .repartition("key").groupBy("key", "x", "y").agg(F.bool_or("own").alias("own")))
     in_key = W.partitionBy("key")
     shared = (keyed.withColumn("lines", F.count(F.lit(1)).over(in_key)).withColumn("any", F.bool_or("own").over(in_key))
@@ -290,12 +291,13 @@ def removed_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", edits
     classes = line_classes(docs, id, text, edits, least).checkpoint()
     lines = _lines(docs, id, text, 1).select("__id", "__text", "__at", "x", "y")  # short ones are removed if they are equal
     at = F.struct(F.col("__id").isNull().alias("last"), "__id", "__text", "__at")
-    counted = lines.groupBy("x", "y").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n"))
+    # counts alone are merged without a sort; places matter of lines that are repeated or linked only
+    counted = lines.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
     named = counted.join(classes, ["x", "y"], "left").filter("n > 1 or class is not null")
-    named = named.withColumn("class", F.coalesce("class", F.concat_ws(":", "x", "y")))
-    first = named.groupBy("class").agg(F.min("first").alias("least"))
-    named = named.join(first, "class").select("x", "y", "least").checkpoint()
-    gone = lines.join(named, ["x", "y"]).filter(at != F.col("least"))
+    named = named.select("x", "y", F.coalesce("class", F.concat_ws(":", "x", "y")).alias("class")).checkpoint()
+    places = lines.join(named, ["x", "y"]).select("__id", "__text", "__at", "class").checkpoint()
+    first = places.groupBy("class").agg(F.min(at).alias("least"))
+    gone = places.join(first, "class").filter(at != F.col("least"))
     return gone.groupBy("__id", "__text").agg(F.array_sort(F.collect_set("__at")).alias("removed"))
 
 
