@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.llm import decontaminate, language_id, line_dedup, minhash, pieces
+from roadpulse.llm.tables import release
 from roadpulse.session import fresh_dir
 
 
@@ -70,4 +71,5 @@ def run(spark, sf_dir: str) -> DataFrame:
         place = fresh_dir(spark, name)
         stage(spark, docs, sf_dir).write.parquet(place)
         docs = spark.read.parquet(place)
+        release(spark)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.tables import settle
+from roadpulse.llm.tables import kept, settle
 
 MOST_ROUNDS = 60
 
@@ -19,18 +19,18 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
 
     Alternates two steps until nothing changes: all larger neighbours of a node are tied to its least
     neighbour, then all smaller ones are. Each step keeps the components; the number of rounds grows
-    with the logarithm of their size. Rounds are cut by checkpoints.
+    with the logarithm of their size. Each round is a written table that takes the place of the one before.
     """
     settle(edges.sparkSession)
     one = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u is not null and v is not null and u <> v")
-    now = one.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct().checkpoint()
+    now, place = kept(one.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     state = None
     for _ in range(MOST_ROUNDS):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _nearest(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         near = _nearest(large)
         small = near.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(near.select("u", F.col("m").alias("v")))
-        now = small.filter("u <> v").distinct().checkpoint()
+        now, place = kept(small.filter("u <> v").distinct(), "edges", instead_of=place)
         after = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v", "u").cast("decimal(20,0)"))).first()
         if after == state:
             break

@@ -28,7 +28,7 @@ from pyspark.sql import Window as W
 
 from roadpulse.llm import batches as B
 from roadpulse.llm.components import components
-from roadpulse.llm.tables import settle
+from roadpulse.llm.tables import release, settle
 from roadpulse.session import fresh_dir, ship_package
 
 BANDS, ROWS = 64, 6
@@ -187,9 +187,11 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
     keyed = nodes.select("__set", F.explode("bands").alias("key"))
     in_bucket = W.partitionBy("key")
     met = keyed.withColumn("hub", F.min("__set").over(in_bucket)).filter("hub <> __set").select("key", "hub", F.col("__set").alias("spoke")).checkpoint()
+    release(spark)
     bits = nodes.select("__set", "bits")
     pairs = (met.select("hub", "spoke").distinct().join(bits.toDF("hub", "x"), "hub").join(bits.toDF("spoke", "y"), "spoke")
              .select("hub", "spoke", similarity("x", "y").alias("similarity")).checkpoint())
+    release(spark)
     rest = met.join(pairs.filter(F.col("similarity") < DONE), ["hub", "spoke"]).select("key", F.col("spoke").alias("__set"))
     ties = pairs.filter(F.col("similarity") >= TIE).select("hub", "spoke").unionByName(_rest_ties(rest, bits).toDF("hub", "spoke"))
     clusters = components(ties, "hub", "spoke").toDF("__set", "cluster")

@@ -1,9 +1,12 @@
 """Where operators cut lineage, and rows with numbers."""
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.session import fresh_dir
+from roadpulse.sources.paths import Folder
 
 
 def settle(spark: SparkSession) -> None:
@@ -13,6 +16,23 @@ def settle(spark: SparkSession) -> None:
         context.setCheckpointDir(fresh_dir(spark, "checkpoints"))
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of tables that nothing holds any more, which it does when the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def kept(rows: DataFrame, name: str, instead_of: str | None = None) -> tuple[DataFrame, str]:
+    """The rows as a written table, and its place; the table that they were made from goes, if its place is given."""
+    spark = rows.sparkSession
+    place = fresh_dir(spark, name)
+    rows.write.parquet(place)
+    if instead_of:
+        Folder(spark, instead_of).delete("")
+        release(spark)
+    return spark.read.schema(rows.schema).parquet(place), place
+
+
 def numbered(rows: DataFrame, name: str) -> DataFrame:
     """The rows in a written table, with `row`, a number from 0 without gaps in the order of the tasks and in them."""
     spark = rows.sparkSession

@@ -6,7 +6,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from roadpulse.llm.components import components
 from roadpulse.plans import arrivals, streams
+from roadpulse.session import fresh_dir
 from roadpulse.sources import files
 from roadpulse.sources.paths import Folder
 from roadpulse.streaming.keyed_state import _cut
@@ -76,3 +78,11 @@ def test_files_are_read_in_a_bounded_number_of_tasks(spark, tmp_path, monkeypatc
     listed = files.list_files(spark, f"{tmp_path}/images", pathGlobFilter="part-*")
     assert listed.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert sorted(int(r.content) for r in listed.collect()) == list(range(200))
+
+
+def test_components_keep_one_round_on_disk(spark):
+    shared = Folder(spark, fresh_dir(spark, "x").rpartition("/")[0])
+    before = set(shared.names())
+    chain = spark.range(40).selectExpr("id as a", "id + 1 as b")
+    assert {(r.node, r.component) for r in components(chain, "a", "b").collect()} == {(k, 0) for k in range(41)}
+    assert len([n for n in set(shared.names()) - before if n.startswith("edges-")]) == 1
