@@ -12,7 +12,7 @@ from roadpulse.plans.detector import StripeDetector
 from roadpulse.plans.results import clean, counts_text
 from roadpulse.plans.streams import run
 from roadpulse.session import fresh_dir
-from roadpulse.sources.files import backfill_frames, list_files, stream_parquet, written
+from roadpulse.sources.files import backfill_frames, list_files, stream_parquet, write_texts, written
 from roadpulse.sources.paths import Folder
 from roadpulse.sources.topics import DirectoryTopics
 from roadpulse.streaming import inspection, jobs
@@ -178,10 +178,8 @@ def image_backfill(spark, sf_dir):
     root = fresh_dir(spark, "images")
     frames = tables.vector_frames(spark, sf_dir)
     named = frames.select(F.col("key").cast("string").alias("cam_id"), F.col("offset").alias("vec_id"), F.col("value").cast("string").alias("value"))
-    # a task's files lie in a folder of its own, which the driver moves into place as one
-    dealt = named.repartition(spark.sparkContext.defaultParallelism, "vec_id").withColumn("task", F.spark_partition_id())
-    dealt.write.partitionBy("task", "cam_id", "vec_id").text(f"{root}/images")
-    listed = (list_files(spark, f"{root}/images", pathGlobFilter="part-*")
+    write_texts(named, ["cam_id", "vec_id"], f"{root}/images")
+    listed = (list_files(spark, f"{root}/images", contents=False)
               .select("path", F.regexp_extract("path", "cam_id=([^/]+)", 1).alias("cam_id"), F.regexp_extract("path", "vec_id=([0-9]+)", 1).cast("bigint").alias("vec_id")))
     gone = (spark.read.parquet(f"{sf_dir}/embeddings.parquet").filter("label = 5")
             .select(F.concat(F.lit(f"{root}/images/no-"), "vec_id").alias("path"), tables.camera_id(F.col("vec_id") % tables.CAMERAS).alias("cam_id"), "vec_id"))
