@@ -65,7 +65,7 @@ NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 def write_texts(rows: DataFrame, by: list[str], folder: str) -> None:
     """A text file for each set of values of the columns `by`, with a line for each `value`; paths hold the columns as `name=value`.
 
-    Tasks write into a local folder themselves, since Hadoop starts two processes for each file that it makes in one.
+    Tasks write into a local folder themselves, since Hadoop starts processes for each file that it makes in one.
     A task's files lie in a folder of its own. A file is there as a whole or not at all.
     """
     spark = rows.sparkSession
